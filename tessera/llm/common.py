@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,6 +32,22 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, so that their Python workers can import it wherever they start."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = Path(__file__).resolve().parents[1]
+        folder = tempfile.mkdtemp(prefix="tessera-ship-")
+        with zipfile.ZipFile(f"{folder}/{root.name}.zip", "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        spark.sparkContext.addPyFile(f"{folder}/{root.name}.zip")
+        _shipped.add(app)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df`, computed once, written to the shared folder and read again: a cut of its lineage that outlives executors."""
     path = shared_dir(df.sparkSession, name)
