@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import mixing, quality, sharding
+from tessera.llm import mixing, packing, quality, sharding, tokenfile
 from tessera.llm.common import load
 
 
@@ -24,4 +24,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op3_quality_rules, op6_sharding)}
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(load(spark, sf_dir, "documents"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.round_trip(load(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_packing, op3_quality_rules, op6_sharding, op10_token_files)}
