@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import mixing, packing, quality, sharding, tokenfile
+from tessera.llm import mixing, ngramjoin, packing, quality, sharding, tokenfile, toxicity
 from tessera.llm.common import load
 
 
@@ -20,6 +20,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.join(load(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.toxicity(docs, load(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(load(spark, sf_dir, "documents"))
 
@@ -32,4 +41,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(load(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_packing, op3_quality_rules, op6_sharding, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_packing, op3_quality_rules, op4_ngram_join, op5_toxicity, op6_sharding, op10_token_files)}
