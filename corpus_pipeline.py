@@ -1,10 +1,59 @@
-"""The cleaning pipeline: quality rules, toxicity, near-duplicate join, mix, packing."""
+"""The cleaning pipeline over `documents`: quality rules, toxicity, near duplicates, mixing, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept. Results are written to the shared folder
+between stages. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.llm import mixing, ngramjoin, packing, quality, toxicity
+from tessera.llm.common import load, written
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the risk-controlled cutoffs keep."""
+    return quality.kept(docs, load(spark, sf_dir, "labels")).select(*COLUMNS)
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity below one half."""
+    return toxicity.toxicity(docs.select(*COLUMNS), load(spark, sf_dir, "labels")).where("predicted = 0").select(*COLUMNS)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component the document with the smallest doc_id, once."""
+    return ngramjoin.first_of_each(docs).select(*COLUMNS)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.taken(mixing.mix(docs)).select(*COLUMNS)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the mix with their places in sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality rules", quality_stage),
+    ("toxicity", toxicity_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
+    ("mixing sources", mixing_stage),
+    ("best-fit packing", packing_stage),
+]
+
+#: A trained classifier, a tokenizer and a linear program are not SQL; tests compare `run` with a plain version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

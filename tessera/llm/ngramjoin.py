@@ -259,3 +259,12 @@ def brute_force(texts: dict[int, str | None], percent: int = PERCENT) -> dict[in
                 x, y = sorted((root(a), root(b)))
                 parent[y] = x
     return {d: (len(grams[d]), root(d)) for d in grams}
+
+
+def first_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs, with all columns, whose doc_id is the smallest of its component; one row where that is repeated.
+
+    A row without doc_id stays only if no row of its component has one; equal ones stay once.
+    """
+    ids = join(docs, percent).where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(written(ids, "kept-ids"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id"])

@@ -171,3 +171,12 @@ def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alp
     stats = statistics(docs.select("doc_id", F.col(stratum), "text"), "text").drop("text")
     stats = written(stats, "quality")
     return judge(stats, cutoffs(stats, labels, stratum, alpha, delta), stratum)
+
+
+def kept(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """The rows of `docs` that the rules keep, with all their columns and the statistics.
+
+    The cutoffs need a pass over all texts; the verdicts come from a second pass, so that no text is shuffled.
+    """
+    cuts = written(cutoffs(statistics(docs.select("doc_id", stratum, "text")), labels, stratum, alpha, delta), "cutoffs")
+    return judge(statistics(docs), cuts, stratum).where("kept")
