@@ -1,7 +1,334 @@
-"""Every query of the vault engine, with its SQL twin."""
+"""Every query of the vault engine over the test tables."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from datetime import UTC, datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.functions.hashing import hash_diff, hash_key
+from tessera.operators import business, checks, contracts, marts, vault
+from tessera.oracles import ORACLES
+from tessera.plans.build import raw_vault
+from tessera.plans.model import GITHUB
+from tessera.sources import adapter
+from tessera.sources.staging import classified, split
+
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
+
 FLAGSHIP = "entity_activity_mart"
+EFF_KEYS = ["lhk_issue_assignee", "hk_issue", "hk_actor"]
+
+
+class Tables:
+    """The vault over one folder of test tables; objects are built as they are asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, resend: bool = False):
+        self.spark, self.dir = spark, sf_dir
+        e = adapter.events(spark, sf_dir)
+        self.events = e.union(e.where("event_id % 3 = 0")) if resend else e
+        self.raw = {k: df for k, (df, _) in raw_vault(GITHUB, adapter.staged(self.events)).items()}
+
+    def table(self, name: str) -> DataFrame:
+        return adapter.table(self.spark, self.dir, name)
+
+    def resolved(self) -> DataFrame:
+        return business.resolve_effectivity(self.raw["eff_sat_issue_assignee"], EFF_KEYS)
+
+    def pit(self, name: str) -> DataFrame:
+        hub, sats = GITHUB.pits[name]
+        return business.point_in_time(self.raw[hub], GITHUB.hub(hub).key, {s: self.raw[s] for s in sats}, business.date_spine(self.raw["sat_actor_repo_event"]))
+
+    def bridge(self) -> DataFrame:
+        return business.bridge(*[self.raw[n] for n in ("hub_actor", "hub_repo", "hub_pull_request", "hub_issue", "link_actor_pull_request", "link_actor_issue")], self.resolved())
+
+    def pr_life(self) -> DataFrame:
+        return business.pr_lifecycle(self.raw["sat_pull_request_details"])
+
+    def issue_life(self) -> DataFrame:
+        return business.issue_lifecycle(self.raw["sat_issue_details"], self.resolved())
+
+
+QUERIES: dict = {}
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+@query
+def hash_keys_user_entity(spark, d):
+    e = adapter.events(spark, d).withColumn("entity", F.concat(F.lit(" k/"), "k"))
+    return e.select("event_id", hash_key(["user_id"]).alias("hk_user"), hash_key(["user_id", "entity"]).alias("lhk"), hash_diff([F.nullif(F.col("event_type"), F.lit("error")), F.col("k")]).alias("hash_diff"))
+
+
+@query
+def envelope_valid(spark, d):
+    valid, _ = split(classified(adapter.lines(adapter.events(spark, d)), adapter.TYPES))
+    return valid.select("event_key", "event_type", (F.col("created_ts").cast("long") * 1000).alias("ts_ms"))
+
+
+@query
+def envelope_quarantine_reasons(spark, d):
+    _, bad = split(classified(adapter.lines(adapter.events(spark, d)), adapter.TYPES))
+    return bad.groupBy("error_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def envelope_reasons_compat(spark, d):
+    df = classified(adapter.lines(adapter.events(spark, d)), adapter.TYPES, compat=True)
+    return df.groupBy(F.coalesce("error_reason", F.lit("valid")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def stage_events(spark, d):
+    frames = adapter.staged(adapter.events(spark, d))
+    return frames["IssuesEvent"].select("event_id", "actor_login", "repo_name", "action", "issue_number", "assignee_login", "record_source", "occurred_at")
+
+
+EVENT_CONTRACT = contracts.Contract(
+    "event", 1,
+    (contracts.Field("event_id", "bigint", False), contracts.Field("event_type", "string", False, ("click", "view", "purchase")), contracts.Field("k", "integer"), contracts.Field("ts", "timestamp", False)),
+    ("event_id",), "ts",
+)
+
+
+def _contracted(spark, d):
+    return adapter.events(spark, d).select("event_id", F.nullif(F.col("event_type"), F.lit("error")).alias("event_type"), "k", "ts")
+
+
+@query
+def contract_violations(spark, d):
+    _, bad = contracts.enforce(_contracted(spark, d), EVENT_CONTRACT)
+    return bad.select("event_id", F.array_join("violations", ";").alias("violations"))
+
+
+@query
+def contract_valid(spark, d):
+    good, _ = contracts.enforce(_contracted(spark, d), EVENT_CONTRACT)
+    return good.select("event_id", "event_type", "k")
+
+
+@query
+def quarantine_to_json(spark, d):
+    _, bad = contracts.enforce(_contracted(spark, d), EVENT_CONTRACT)
+    bad = bad.withColumns({"record_source": F.lit("events"), "occurred_at": F.col("ts")}).where(F.size("violations") == 1)
+    return contracts.quarantine_rows(bad, "run").select("event_id", "record_source", "violations", "quarantined_run_id")
+
+
+def _raw(name: str, query_name: str) -> None:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        return Tables(spark, d).raw[name]
+
+    QUERIES[query_name] = run
+
+
+for _object, _name in {
+    "hub_actor": "hub_user", "hub_repo": "hub_entity", "hub_pull_request": "hub_pull_request", "hub_issue": "hub_issue",
+    "link_actor_repo": "link_user_entity", "link_actor_pull_request": "link_actor_pull_request", "link_actor_issue": "link_actor_issue", "link_issue_assignee": "link_issue_assignee",
+    "sat_actor_profile": "sat_actor_profile", "sat_repo_profile": "sat_repo_profile", "sat_repo_stats": "sat_repo_stats", "sat_pull_request_details": "sat_standard_states", "sat_issue_details": "sat_issue_details",
+    "eff_sat_issue_assignee": "eff_intervals",
+}.items():
+    _raw(_object, _name)
+
+
+@query
+def hub_lineitem_composite(spark, d):
+    cols = adapter.table(spark, d, "lineitem")
+    rows = cols.withColumns({"event_id": F.concat_ws("/", "l_partkey", "l_suppkey"), "record_source": F.concat(F.lit("lineitem."), "l_returnflag"), "occurred_at": F.col("l_shipdate")})
+    return vault.hub(rows, "hk_lineitem", ["l_orderkey", "l_linenumber"])
+
+
+@query
+def link_customer_order_nation(spark, d):
+    o = adapter.table(spark, d, "orders").join(adapter.table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    o = o.withColumns({"event_id": F.col("o_orderkey").cast("string"), "record_source": F.lit("orders"), "occurred_at": F.col("o_orderdate")})
+    return vault.link(o, "lhk", {"hk_customer": ["o_custkey"], "hk_order": ["o_orderkey"], "hk_nation": ["c_nationkey"]})
+
+
+@query
+def sat_fast_slow_split(spark, d):
+    e = adapter.events(spark, d).withColumns({"event_id": F.col("event_id").cast("string"), "record_source": F.lit("events"), "occurred_at": F.col("ts"), "bucket": F.floor(F.col("value") / 10)})
+    parts = [vault.standard_satellite(e, "hk_entity", ["k"], [a]).select("hk_entity", "hash_diff", F.lit(name).alias("satellite"), F.col(a).cast("string").alias("state"), "occurred_at") for name, a in (("slow", "event_type"), ("fast", "bucket"))]
+    return vault.union(parts)
+
+
+@query
+def mas_user_entity_event(spark, d):
+    return Tables(spark, d, resend=True).raw["sat_actor_repo_event"]
+
+
+@query
+def eff_resolved(spark, d):
+    return Tables(spark, d).resolved()
+
+
+@query
+def eff_after_resend(spark, d):
+    return Tables(spark, d, resend=True).resolved()
+
+
+@query
+def insert_only_replay(spark, d):
+    """A first load of half of the events' states, then one of all, then the same again."""
+    e = adapter.events(spark, d)
+    half, whole = (raw_vault(GITHUB, adapter.staged(x))["link_actor_repo"][0] for x in (e.where("event_id % 2 = 0"), e))
+    first = vault.new_rows(half, None, ["lhk_actor_repo"])
+    second = vault.new_rows(whole, first, ["lhk_actor_repo"])
+    third = vault.new_rows(whole, first.unionByName(second), ["lhk_actor_repo"])
+    return vault.union([x.agg(F.count(F.lit(1)).alias("rows_added")).withColumn("load", F.lit(i)) for i, x in enumerate((first, second, third), 1)])
+
+
+@query
+def date_spine(spark, d):
+    return business.date_spine(adapter.events(spark, d), "ts")
+
+
+@query
+def pit_entity_day(spark, d):
+    return Tables(spark, d).pit("pit_repo_day")
+
+
+@query
+def pit_user_day(spark, d):
+    return Tables(spark, d).pit("pit_actor_day")
+
+
+@query
+def pit_pull_request_day(spark, d):
+    return Tables(spark, d).pit("pit_pull_request_day")
+
+
+@query
+def bridge_collaboration(spark, d):
+    return Tables(spark, d).bridge()
+
+
+@query
+def lifecycle_item(spark, d):
+    return Tables(spark, d).pr_life()
+
+
+@query
+def lifecycle_with_churn(spark, d):
+    return Tables(spark, d).issue_life()
+
+
+@query
+def entity_activity_mart(spark, d):
+    t = Tables(spark, d)
+    return marts.repo_activity(t.raw["sat_actor_repo_event"], t.raw["link_actor_repo"], t.raw["hub_repo"], t.pit("pit_repo_day"), t.raw["sat_repo_profile"], t.raw["sat_repo_stats"])
+
+
+@query
+def user_360_mart(spark, d):
+    t = Tables(spark, d)
+    return marts.developer_360(t.raw["sat_actor_repo_event"], t.raw["link_actor_repo"], t.raw["hub_actor"], t.pit("pit_actor_day"), t.raw["sat_actor_profile"], t.bridge(), t.pr_life())
+
+
+@query
+def collaboration_mart(spark, d):
+    t = Tables(spark, d)
+    return marts.collaboration(t.bridge(), t.pr_life(), t.issue_life(), t.pit("pit_pull_request_day"), t.raw["sat_pull_request_details"])
+
+
+@query
+def latest_state(spark, d):
+    return business.latest_state(Tables(spark, d).raw["sat_issue_details"], "hk_issue").select("hk_issue", "action", "issue_state", "hash_diff", "occurred_at")
+
+
+@query
+def dq_not_null(spark, d):
+    return _contracted(spark, d).agg(checks.nulls("event_type").alias("null_values"))
+
+
+@query
+def dq_unique(spark, d):
+    return adapter.table(spark, d, "lineitem").agg(checks.duplicates(["l_orderkey", "l_linenumber"]).alias("duplicate_keys"))
+
+
+@query
+def dq_accepted_values(spark, d):
+    return _contracted(spark, d).agg(checks.outside("event_type", ["click", "view"]).alias("outside"))
+
+
+@query
+def dq_row_count_between(spark, d):
+    return adapter.table(spark, d, "orders").agg(F.count(F.lit(1)).alias("row_count"), F.count(F.lit(1)).between(1, 10_000).alias("passed"))
+
+
+ANCHOR = datetime(2024, 2, 1, tzinfo=UTC)
+
+
+@query
+def dq_freshness(spark, d):
+    newest = F.max(F.unix_micros(F.col("ts").cast("timestamp")))
+    return adapter.events(spark, d).agg(F.floor((F.lit(int(ANCHOR.timestamp())) - newest / 1e6) / 60).alias("age_minutes"))
+
+
+@query
+def dq_referential_integrity(spark, d):
+    parts = adapter.table(spark, d, "part").where("p_size < 25")
+    return checks.orphans(adapter.table(spark, d, "lineitem"), "l_partkey", parts, "p_partkey").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("orphans"))
+
+
+@query
+def dq_row_count_match(spark, d):
+    n = [adapter.table(spark, d, t).agg(F.count(F.lit(1)).alias(f"n_{t}"), F.lit(1).alias("_one")) for t in ("orders", "customer")]
+    out = n[0].join(n[1], "_one")
+    return out.select("n_orders", "n_customer", F.abs(F.col("n_orders") - F.col("n_customer")).alias("drift"))
+
+
+DQ_SUITE = checks.Suite(
+    "lineitem",
+    (
+        checks.Check("not_null", column="l_orderkey"),
+        checks.Check("unique", columns=("l_orderkey", "l_linenumber"), severity="warn"),
+        checks.Check("accepted_values", column="l_returnflag", values=("A", "N")),
+        checks.Check("row_count_between", min_rows=1),
+        checks.Check("referential_integrity", column="l_partkey", ref_table="part", ref_column="p_partkey", ref_filter="p_size < 25"),
+        checks.Check("row_count_match", ref_table="orders", tolerance=10),
+    ),
+)
+
+
+@query
+def dq_suite_summary(spark, d):
+    r = checks.run_suite(DQ_SUITE, lambda name: adapter.table(spark, d, name))
+    return spark.createDataFrame([(i, x.check.type, x.status, x.observed) for i, x in enumerate(r.results)], "position int, check_type string, status string, observed string")
+
+
+@query
+def tpch_chain_revenue(spark, d):
+    t = lambda n: adapter.table(spark, d, n)
+    rows = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    rows = rows.join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long") * (100 - F.round(F.col("l_discount") * 100).cast("long"))
+    return rows.groupBy("r_name", "n_name").agg(F.sum(cents).alias("revenue_e4"), F.count(F.lit(1)).alias("line_items"))
+
+
+@query
+def metrics_latest_run(spark, d):
+    from tessera import runs
+
+    steps = adapter.events(spark, d).select(F.concat(F.lit("run-"), "user_id").alias("run_id"), F.col("event_type").alias("pipeline"), F.col("event_id").cast("string").alias("step"), F.col("ts").alias("started_at"))
+    return runs.latest_run(steps)
+
+
+@query
+def ledger_stream_ingest(spark, d):
+    """Two runs of the stream over the events' lines, written as text; the second finds nothing new."""
+    import tempfile
+    import uuid
+
+    from tessera.streaming.ingest import stream_into
+
+    conf = spark.sparkContext.getConf()
+    base = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tessera-")
+    base = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    adapter.lines(adapter.events(spark, d)).where("value is not null").select("value").write.text(f"{base}/landing")
+    for _ in range(2):
+        out = stream_into(spark, f"{base}/landing", f"{base}/table", f"{base}/checkpoint", adapter.TYPES)
+    return out.groupBy(F.coalesce("error_reason", F.lit("valid")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
