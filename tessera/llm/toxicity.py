@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.byteshash import slices
-from tessera.llm.common import ship
+from tessera.llm.common import ship, written
 
 #: Labelled documents that are learnt from, at most; those first by hash of doc_id.
 SAMPLE = 8000
@@ -115,27 +115,14 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(out, -40, 40)))
 
 
-def fit(texts: list[np.ndarray], toxic: np.ndarray, swaps: list[tuple[int, np.ndarray]] = ()) -> Model:
-    """From feature sets, labels 0/1 and (text, features after a swap)."""
+def fit(known: np.ndarray, texts: list[np.ndarray], toxic: np.ndarray, swaps: list[tuple[int, np.ndarray]] = ()) -> Model:
+    """From the features to weigh, the places in them that each text has, labels 0/1, and (text, places after a swap)."""
     n, pos = len(texts), int(toxic.sum())
     if not n or not pos or pos == n:
-        return Model(bias=-2.0 if not pos else 2.0)
-    doc = np.repeat(np.arange(n), [len(x) for x in texts])
-    feature = np.concatenate(texts)
-    in_all = np.bincount(feature, minlength=1 << BITS).astype(float)
-    in_pos = np.bincount(feature, toxic[doc], 1 << BITS)
-    expected = in_all * pos / n
-    with np.errstate(divide="ignore", invalid="ignore"):
-        chi = np.where(in_all >= LEAST_DOCS, (in_pos - expected) ** 2 / (expected * (1 - pos / n) * np.maximum(1e-9, 1 - in_all / (n + 1))), 0)
-    known = np.sort(np.argsort(-chi, kind="stable")[:FEATURES])
-    known = known[chi[known] > 6.6]  # a chance of one in a hundred
-    place = np.full(1 << BITS, -1, np.int64)
-    place[known] = np.arange(len(known))
+        return Model(bias=2.0 if n and pos else -2.0)
 
     def rows(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        d = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-        k = place[np.concatenate(sets)] if len(sets) else np.zeros(0, np.int64)
-        return d[k >= 0], k[k >= 0]
+        return np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.concatenate([np.zeros(0, np.int64), *sets])
 
     d, k = rows(texts)
     origin = np.array([i for i, _ in swaps], np.int64)
@@ -159,12 +146,41 @@ def fit(texts: list[np.ndarray], toxic: np.ndarray, swaps: list[tuple[int, np.nd
     return Model(known, w, b)
 
 
+def _of(raw: bytes | None) -> np.ndarray:
+    return np.frombuffer(bytes(raw), "<u4").astype(np.int64)
+
+
+def telling(sample: DataFrame) -> np.ndarray:
+    """The features of the sample (toxic, own) whose presence tells the labels apart best, by chi squared; the driver gets these alone."""
+
+    def count(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for b in batches:
+            toxic = b.column(0).to_numpy()
+            sets_ = [_of(x) for x in b.column(1).to_pylist()]
+            if not sets_:
+                continue
+            found, place = np.unique(np.concatenate(sets_), return_inverse=True)
+            label = np.repeat(toxic, [len(x) for x in sets_])
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.bincount(place, minlength=len(found))), pa.array(np.bincount(place, label, len(found)).astype(np.int64))], names=["feature", "n", "pos"])
+
+    total = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("pos")).first()
+    if not total["n"] or not total["pos"] or total["pos"] == total["n"]:
+        return np.zeros(0, np.int64)
+    share = total["pos"] / total["n"]
+    rows = sample.select("toxic", "own").mapInArrow(count, "feature long, n long, pos long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+    chi = F.pow(F.col("pos") - F.col("n") * share, F.lit(2.0)) / (F.col("n") * (share * (1 - share)) * (1 - F.col("n") / (total["n"] + 1)))
+    rows = rows.where(F.col("n") >= LEAST_DOCS).select("feature", chi.alias("chi")).where("chi > 6.6")  # a chance of one in a hundred
+    return np.sort(np.array([r["feature"] for r in rows.orderBy(F.col("chi").desc(), "feature").limit(FEATURES).collect()], np.int64))
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learns from at most `sample` labelled documents (doc_id and toxic not null, not held out; several labels: toxic if one says so)."""
     ship(docs.sparkSession)
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("_toxic")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    some = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select("doc_id", F.col("_toxic").cast("int"), "text").limit(2 * sample)
+    some = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select("doc_id", F.col("_toxic").cast("int"), "text").limit(2 * sample).repartition(16)
 
     def featured(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -179,11 +195,22 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                 names=["doc_id", "toxic", "own", "swapped"],
             )
 
-    rows = some.mapInArrow(featured, "doc_id long, toxic int, own binary, swapped binary").collect()
-    rows.sort(key=lambda r: (r["doc_id"], bytes(r["own"])))
-    of = lambda x: np.frombuffer(bytes(x), "<u4").astype(np.int64)
-    swaps = [(i, of(r["swapped"])) for i, r in enumerate(rows) if r["swapped"] is not None]
-    return fit([of(r["own"]) for r in rows], np.array([r["toxic"] for r in rows], float), swaps)
+    learnt = written(some.mapInArrow(featured, "doc_id long, toxic int, own binary, swapped binary"), "toxicity-sample")
+    features_ = telling(learnt)
+
+    def reduced(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        place = np.full(1 << BITS, -1, np.int32)
+        place[features_] = np.arange(len(features_))
+        known_of = lambda x: None if x is None else (p := place[_of(x)])[p >= 0].astype("<u4").tobytes()
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(list(map(known_of, b.column(i).to_pylist())), pa.binary()) for i in (2, 3)]], names=b.schema.names)
+
+    rows = learnt.mapInArrow(reduced, "doc_id long, toxic int, own binary, swapped binary").collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["toxic"], bytes(r["own"])))
+    swaps = [(i, _of(r["swapped"])) for i, r in enumerate(rows) if r["swapped"] is not None]
+    return fit(features_, [_of(r["own"]) for r in rows], np.array([r["toxic"] for r in rows], float), swaps)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
