@@ -18,14 +18,15 @@ def writer(uri: str):
     system, path = _of(uri)
     system.create_dir(path.rsplit("/", 1)[0], recursive=True)
     part = f"{path}.{uuid.uuid4().hex}.part"
-    with system.open_output_stream(part) as out:
+    with system.open_output_stream(part, compression=None) as out:
         yield out
     system.move(part, path)
 
 
 def read(uri: str) -> bytes:
+    """The bytes as they are stored, whatever the name ends in."""
     system, path = _of(uri)
-    with system.open_input_stream(path) as f:
+    with system.open_input_stream(path, compression=None) as f:
         return f.read()
 
 

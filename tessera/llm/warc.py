@@ -23,6 +23,8 @@ VERSION = b"WARC/1.1"
 #: Payloads of so many bytes are stored once.
 LEAST_SHARED = 100
 FILE_BYTES = 64 * 1024 * 1024
+#: Bytes of a gzip member that are inflated at a time.
+CHUNK = 64 * 1024
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID = "urn:page:"
@@ -101,17 +103,20 @@ def _whole(raw: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
 
 def _record_at(raw: bytes, at: int) -> tuple[Record, int]:
     if raw.startswith(b"\x1f\x8b", at):
-        z = zlib.decompressobj(31)
+        z, parts, to = zlib.decompressobj(31), [], at
         try:
-            plain = z.decompress(memoryview(raw)[at:])
+            while not z.eof and to < len(raw):
+                parts.append(z.decompress(raw[to : to + CHUNK]))
+                to += CHUNK
         except zlib.error as e:
             raise Damaged("bad gzip member") from e
         if not z.eof:
             raise Damaged("cut gzip member")
+        plain, after = b"".join(parts), min(to, len(raw)) - len(z.unused_data)
         fields, block, end = _whole(plain)
         if end != len(plain):
             raise Damaged("bytes behind the record")
-        return Record(at, fields, block), len(raw) - len(z.unused_data)
+        return Record(at, fields, block), after
     fields, block, end = _whole(raw, at)
     return Record(at, fields, block), end
 
@@ -191,14 +196,14 @@ def _number(urn: str) -> int | None:
 def described(r: Record) -> tuple | None:
     """(page_id, payload bytes, digest, type, refers_to) of a response or revisit, from the stored bytes; None for other records."""
     kind = r.fields.get("warc-type")
-    if kind not in ("response", "revisit"):
-        return None
     http, _, payload = r.block.partition(b"\r\n\r\n")
-    page = _number(r.fields["warc-record-id"])
+    page = _number(r.fields.get("warc-record-id", ""))
     if kind == "response":
         return page, len(payload), hashlib.sha256(payload).hexdigest(), kind, None
-    size = int(re.search(rb"Content-Length: (\d+)", http)[1])
-    return page, size, r.fields["warc-payload-digest"].partition(":")[2], kind, _number(r.fields["warc-refers-to"])
+    size = re.search(rb"Content-Length: (\d+)", http)
+    if kind != "revisit" or not size:
+        return None
+    return page, int(size[1]), r.fields.get("warc-payload-digest", "").partition(":")[2], kind, _number(r.fields.get("warc-refers-to", ""))
 
 
 def _each_file(manifest: DataFrame, run, schema: str) -> DataFrame:
