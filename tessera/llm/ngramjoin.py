@@ -264,7 +264,7 @@ def brute_force(texts: dict[int, str | None], percent: int = PERCENT) -> dict[in
 def first_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of docs, with all columns, whose doc_id is the smallest of its component; equal ones once.
 
-    A row without doc_id stays, once for each text, if no row of its class has one.
+    Rows without doc_id cannot be told apart by it: if one of them has no class mate with an id, they all stay, once for each text.
     """
     ids = join(docs, percent).where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(written(ids, "kept-ids"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id", "text"])
