@@ -176,7 +176,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alp
 def kept(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """The rows of `docs` that the rules keep, with all their columns and the statistics.
 
-    The cutoffs need a pass over all texts; the verdicts come from a second pass, so that no text is shuffled.
+    Texts and statistics are written once to the shared folder. A filter right above the statistics would be pushed below
+    them, and compute them anew for each mention.
     """
-    cuts = written(cutoffs(statistics(docs.select("doc_id", stratum, "text")), labels, stratum, alpha, delta), "cutoffs")
-    return judge(statistics(docs), cuts, stratum).where("kept")
+    stats = written(statistics(docs), "quality")
+    return judge(stats, cutoffs(stats, labels, stratum, alpha, delta), stratum).where("kept")
