@@ -37,7 +37,7 @@ def copy_into(store: TableStore, folder: str, run_id: str, event_types: list[str
     """Loads the files that the ledger does not list; counts of files, lines, events and quarantined lines.
 
     Quarantine, events and ledger are written in this order, each at once or not at all. After a crash in between, the rerun
-    finds the files that a table already holds and adds none of them twice. Empty files are listed with 0 rows.
+    finds the files that a table already holds and adds none of them twice. Spark does not list empty files, so they are never new..
     """
     spark = store.spark
     listed = list_files(spark, folder)
