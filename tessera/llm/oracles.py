@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tessera.llm import mixing, quality
+from tessera.llm import chat, mixing, ngramjoin, quality, sharding, warc
+from tessera.llm.queries import CONTROL
 
 W = r"[^\x20\x09-\x0D]+"
 
@@ -59,4 +60,79 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
-ORACLES = {"op1_mixing": OP1, "op3_quality_rules": _op3()}
+def _op4() -> str:
+    n, percent = ngramjoin.N, ngramjoin.PERCENT
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '{W}') AS w FROM documents),
+g AS (SELECT DISTINCT rid, unnest(CASE WHEN len(w) >= {n} THEN list_transform(range(1, len(w) - {n - 2}), lambda i: array_to_string(w[i:i + {n - 1}], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x FROM d),
+c AS (SELECT rid, count(*) AS n, sha256(string_agg(x, chr(10) ORDER BY x)) AS h FROM g GROUP BY rid),
+k AS (SELECT h, any_value(n) AS n, min(doc_id) AS node, arg_min(rid, doc_id) AS rid FROM c JOIN d USING (rid) WHERE doc_id IS NOT NULL GROUP BY h),
+s AS (SELECT k.node, k.n, g.x FROM k JOIN g USING (rid)),
+p AS (SELECT a.node AS a, b.node AS b, count(*) AS m, any_value(a.n) + any_value(b.n) AS t FROM s a JOIN s b ON a.x = b.x AND a.node < b.node
+  AND 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n) GROUP BY ALL HAVING 100 * count(*) >= {percent} * (any_value(a.n) + any_value(b.n) - count(*))),
+e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT node AS a, node AS b FROM k UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT a AS node, min(b) AS component FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(c.n, 0)::BIGINT AS n_shingles, coalesce(m.component, d.doc_id) AS component_id, coalesce(k.node, d.doc_id) AS class_id
+FROM d LEFT JOIN c USING (rid) LEFT JOIN k ON k.h = c.h LEFT JOIN m ON m.node = k.node
+"""
+
+
+def _op6() -> str:
+    table = list(range(256))  # checksums of single bytes
+    for _ in range(8):
+        table = [c >> 1 ^ 0xEDB88320 * (c & 1) for c in table]
+    crc = ", ".join(map(str, table))
+
+    def placed(grown: int, into: str) -> str:
+        out = []
+        for depth, level in enumerate(sharding._levels(sharding.tree(grown=grown))):
+            kids = ", ".join(f"('{node}', '{c}', {w}::DOUBLE)" for node, children in level.items() for c, w in children)
+            above = "SELECT DISTINCT doc_id, '' AS node FROM documents" if not depth else f"SELECT doc_id, node FROM {into}{depth - 1}"
+            draw = f"-ln({_unit(_id(), 'c')}) / w"
+            out.append(f"{into}{depth} AS (SELECT doc_id, arg_min(c, {draw}) AS node FROM ({above}) JOIN (VALUES {kids}) t(node, c, w) USING (node) GROUP BY doc_id)")
+        return ",\n".join(out)
+
+    return f"""
+WITH {placed(0, "own")},
+{placed(1, "big")},
+d AS (SELECT doc_id, (strlen(coalesce(text, '')) + {sharding.OVERHEAD})::BIGINT AS size, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS b FROM documents),
+z AS (SELECT doc_id, size, xor(list_reduce(b, lambda c, x: xor(c >> 8, [{crc}][(xor(c, x) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS text_crc32 FROM d),
+s AS (SELECT z.*, own2.node[2:]::INT AS shard, big2.node[2:]::INT AS grown_shard, floor({_unit(_id('z.doc_id'), "text_crc32::VARCHAR")} * 4096)::INT AS bin
+  FROM z JOIN own2 ON z.doc_id IS NOT DISTINCT FROM own2.doc_id JOIN big2 ON z.doc_id IS NOT DISTINCT FROM big2.doc_id)
+SELECT doc_id, size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard, (row_number() OVER (PARTITION BY shard ORDER BY bin, doc_id NULLS FIRST, text_crc32) - 1)::BIGINT AS slot, grown_shard FROM s
+"""
+
+
+def _op8() -> str:
+    text = lambda x: "'" + x.replace("'", "''") + "'"
+
+    def escaped(column: str) -> str:
+        for what, into in chat.ESCAPES:
+            column = f"replace({column}, {text(what)}, {text(into)})"
+        return column
+
+    marks = len(chat.OPEN) + len(chat.AFTER_ROLE) + len(chat.CLOSE)
+    role = f"replace({escaped('role')}, ':', '\\c')"
+    own = f"x ORDER BY turn NULLS FIRST, role, x) FILTER (WHERE role = '{chat.TRAINED}')"
+    return f"""
+WITH a AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS x FROM conversations
+  UNION ALL SELECT -7, 0, 'user', {text(CONTROL)} UNION ALL SELECT -7, 1, 'assistant', {text(CONTROL)})
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || x || chr(10), '' ORDER BY turn NULLS FIRST, role, x)) AS turns_sha256,
+  coalesce(sum(length(x)) FILTER (WHERE role = '{chat.TRAINED}'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg({own.replace("x ORDER", "x, '' ORDER", 1)}, '')) AS loss_sha256,
+  sum({marks} + length({role}) + length({escaped("x")}))::BIGINT AS formatted_chars
+FROM a GROUP BY conv_id
+"""
+
+
+OP9 = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS x FROM pages),
+h AS (SELECT page_id, strlen(x)::BIGINT AS payload_bytes, sha256(x) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= {warc.LEAST_SHARED} THEN min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS first FROM h)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to FROM f
+"""
+
+
+ORACLES = {"op1_mixing": OP1, "op3_quality_rules": _op3(), "op4_ngram_join": _op4(), "op6_sharding": _op6(), "op8_prefix_targets": _op8(), "op9_warc_salvage": OP9}
