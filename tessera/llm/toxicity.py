@@ -27,6 +27,8 @@ FEATURES = 4096
 LEAST_DOCS = 3
 #: Weights of the squared norm and of the squared change under swaps.
 RIDGE, COUNTERFACTUAL = 2e-4, 1.0
+#: A toxic document counts as so many clean ones, as it costs more to miss one.
+TOXIC_WEIGHT = 2.0
 STEPS = 400
 BITS = 22
 #: Bytes of a word's beginning that are features, besides the whole word.
@@ -129,10 +131,13 @@ def fit(known: np.ndarray, texts: list[np.ndarray], toxic: np.ndarray, swaps: li
     d0, k0 = rows([texts[i] for i in origin])
     d1, k1 = rows([x for _, x in swaps])
     m = max(1, len(origin))
-    w, b = np.zeros(len(known)), float(np.log(pos / (n - pos)))
+    weigh = np.where(toxic > 0, TOXIC_WEIGHT, 1.0)
+    weigh /= weigh.mean()
+    w, b = np.zeros(len(known)), float(np.log(TOXIC_WEIGHT * pos / (n - pos)))
     first, second = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for t in range(1, STEPS + 1):
         error = 1 / (1 + np.exp(-np.clip(np.bincount(d, w[k], n) + b, -40, 40))) - toxic
+        error *= weigh
         g = np.bincount(k, error[d], len(w)) / n + RIDGE * w
         if len(origin):
             change = np.bincount(d1, w[k1], m) - np.bincount(d0, w[k0], m)
