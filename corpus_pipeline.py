@@ -13,6 +13,8 @@ from tessera.llm import mixing, ngramjoin, packing, quality, toxicity
 from tessera.llm.common import load, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Near duplicates share this percentage of their n-grams of so many words.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +29,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component the document with the smallest doc_id, once."""
-    return ngramjoin.first_of_each(docs).select(*COLUMNS)
+    return ngramjoin.first_of_each(docs, percent=NEAR_PERCENT, n=NEAR_WORDS).select(*COLUMNS)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

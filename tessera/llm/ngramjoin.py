@@ -1,7 +1,7 @@
 """Near-duplicate documents by an exact Jaccard join over word n-grams.
 
 Documents with equal sets are one class. Each class lists its n-grams rarest first; classes can only be similar if their
-prefixes, the first tenth at a threshold of 0.9, share an n-gram, and the lengths, the positions of that n-gram and the
+prefixes, the first tenth at a threshold of 0.9 (a fifth at 0.8), share an n-gram, and the lengths, the positions of that n-gram and the
 make-up of the rest (suffix filter) leave room for enough common ones. What passes is verified once per pair on whole sets.
 
 No group of an n-gram is paired with itself. A first round links each class with one pivot, the smallest class that the
@@ -25,8 +25,8 @@ from tessera.llm.byteshash import mixed, slices
 from tessera.llm.common import ship, written
 from tessera.llm.components import components
 
+#: Words of an n-gram, and the part of the union from which sets are similar, of `op4_ngram_join`; callers may give their own.
 N = 3
-#: Similar at `PERCENT` of the union or more.
 PERCENT = 90
 #: Counters of n-grams: 2 to this power, in chunks of 2 to the second.
 COUNTERS, CHUNK = 22, 16
@@ -72,7 +72,7 @@ def _counter(gram: np.ndarray) -> np.ndarray:
     return (gram >> np.uint64(64 - COUNTERS)).astype(np.int64)
 
 
-def rarity(docs: DataFrame) -> np.ndarray:
+def rarity(docs: DataFrame, n: int = N) -> np.ndarray:
     """A level for every counter, growing with the logarithm of the n-grams that fall to it in all documents.
 
     Tasks count into tables of their own; chunks of the tables are summed in two steps, streaming. What reaches the driver
@@ -84,7 +84,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
 
         table = np.zeros(1 << COUNTERS, np.uint32)
         for b in batches:
-            for _, _, _, gram in sets(b.column(0)):
+            for _, _, _, gram in sets(b.column(0), n):
                 np.add.at(table, _counter(gram), 1)
         if table.any():
             yield from _chunks(pa, {i: table[i << CHUNK : (i + 1) << CHUNK] for i in range(1 << (COUNTERS - CHUNK))})
@@ -120,7 +120,7 @@ def _chunks(pa, tables: dict[int, np.ndarray]) -> Iterator:
         yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([zip_.compress(t.astype("<u8").tobytes())], pa.binary())], names=["chunk", "counts"])
 
 
-def profiles(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> DataFrame:
+def profiles(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT, words: int = N) -> DataFrame:
     """doc_id, n, s1, s2 (sums over the set that tell sets apart), parts (counts by part), prefix (rarest n-grams first)."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)  # 4 MB, whatever the corpus
 
@@ -129,7 +129,7 @@ def profiles(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT) -> Dat
 
         level = shared.value
         for b in batches:
-            for at, rows, doc, gram in sets(b.column(1)):
+            for at, rows, doc, gram in sets(b.column(1), words):
                 n = np.bincount(doc, minlength=rows)
                 ends = np.cumsum(n)
                 sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x)]) for x in (gram, mixed(gram ^ _ODD[0]))]
@@ -159,7 +159,7 @@ def _possible(percent: int, a: str, b: str) -> Column:
     return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (F.least(na - pa_, nb - pb) >= needed(na, nb, percent))
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, n: int = N) -> DataFrame:
     """The pairs (a, b) of classes that are similar: suffix filter on the counts by part, then the whole sets."""
     c = classes.select("node", "n", "parts")
     both = pairs.join(c.toDF("a", "an", "ap"), "a").join(c.toDF("b", "bn", "bp"), "b")
@@ -173,7 +173,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int
         import pyarrow as pa
 
         for b in batches:
-            for at, rows, doc, gram in sets(b.column(1)):
+            for at, rows, doc, gram in sets(b.column(1), n):
                 own = [x.tobytes() for x in np.split(gram, np.searchsorted(doc, np.arange(1, rows)))]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, rows), pa.array(own, pa.binary())], names=["node", "grams"])
 
@@ -197,7 +197,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int
     return both.select("a", "b", "ag", "bg").mapInArrow(check, "a long, b long").distinct()
 
 
-def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def join(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, n_shingles, class_id, component_id.
 
     class_id is the smallest doc_id with the same set, component_id the smallest one reachable by links. Documents without
@@ -206,7 +206,7 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     ship(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    own = written(profiles(docs, rarity(docs), percent), "profiles")
+    own = written(profiles(docs, rarity(docs, n), percent, n), "profiles")
     kinds = own.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("node"), F.first("parts").alias("parts"), F.first("prefix").alias("prefix"))
     classes = written(kinds, "classes")
     rows = classes.select("node", "n", F.posexplode("prefix").alias("pos", "gram"))
@@ -215,7 +215,7 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = written(rows.join(groups, F.col("gram") == F.col("g")).drop("g"), "prefix-rows")  # n-grams of one class alone are gone
 
     near = rows.select("node", "n", "pos", F.col("p_node").alias("_node"), F.col("p_n").alias("_n"), F.col("p_pos").alias("_pos")).where("node > _node").where(_possible(percent, "", "_"))
-    first = verified(near.groupBy(F.col("node").alias("b")).agg(F.min("_node").alias("a")), classes, docs, percent)
+    first = verified(near.groupBy(F.col("node").alias("b")).agg(F.min("_node").alias("a")), classes, docs, percent, n)
     first = written(first, "links")
     known = components(first).withColumnRenamed("node", "k")
 
@@ -228,7 +228,7 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     once = (F.col("r_of") == F.col("r_main")) | (F.col("l_node") < F.col("r_node"))
     met = left.join(right, (left["gram"] == right["gram"]) & (F.col("l_of") != F.col("r_of")) & once & _possible(percent, "l_", "r_"))
     met = met.select(F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b")).distinct()
-    second = verified(met, classes, docs, percent)
+    second = verified(met, classes, docs, percent, n)
     final = components(first.union(second)).withColumnRenamed("node", "k")
 
     named = classes.join(final, F.col("node") == F.col("k"), "left").select("s1", "s2", F.col("n").alias("cn"), F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component_id"))
@@ -236,14 +236,14 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def brute_force(texts: dict[int, str | None], percent: int = PERCENT) -> dict[int, tuple[int, int]]:
+def brute_force(texts: dict[int, str | None], percent: int = PERCENT, n: int = N) -> dict[int, tuple[int, int]]:
     """doc_id -> (n_shingles, component_id), by comparing all pairs; for small fixtures."""
     import re
 
     grams = {}
     for d, t in texts.items():
         w = re.findall("[^\x20\x09-\x0d]+", (t or "").translate({i: i + 32 for i in range(65, 91)}))
-        grams[d] = {tuple(w[i : i + N]) for i in range(len(w) - N + 1)} or ({tuple(w)} if w else set())
+        grams[d] = {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} or ({tuple(w)} if w else set())
     parent = {d: d for d in grams}
 
     def root(d: int) -> int:
@@ -261,10 +261,10 @@ def brute_force(texts: dict[int, str | None], percent: int = PERCENT) -> dict[in
     return {d: (len(grams[d]), root(d)) for d in grams}
 
 
-def first_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def first_of_each(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
     """The rows of docs, with all columns, whose doc_id is the smallest of its component; equal ones once.
 
     Rows without doc_id cannot be told apart by it: if one of them has no class mate with an id, they all stay, once for each text.
     """
-    ids = join(docs, percent).where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
+    ids = join(docs, percent, n).where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(written(ids, "kept-ids"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id", "text"])

@@ -1,10 +1,11 @@
+import random
 from collections import Counter
 
 import pytest
 
 import corpus_pipeline
 from tessera.llm import ngramjoin, queries
-from tests.llm.fixtures import odd
+from tests.llm.fixtures import odd, prose
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -42,6 +43,25 @@ def test_run_equals_its_stages(spark):
     assert Counter((r["doc_id"], r["piece"]) for r in rows) == Counter((r["doc_id"], r["piece"]) for r in corpus_pipeline.run(spark, SF).collect())
 
 
+def test_near_duplicate_stage_links_five_words_at_four_fifths(spark):
+    rng = random.Random(6)
+    rows = [(i, prose(rng, rng.randint(1, 90)), "en", "s1", 1) for i in range(30)]
+    for f in range(6):  # copies that keep 0.9 of three words and of five, 0.8 of five alone, or less
+        base = prose(rng, 70).split(" ")
+        for i in range(8):
+            w = list(base)
+            for _ in range(i // 2):
+                w[rng.choice([0, 1, 69, rng.randrange(70)])] = f"c{rng.randrange(10**6)}"
+            rows.append((100 + 10 * f + i, " ".join(w), "en", "s1", 1))
+    texts = {r[0]: r[1] for r in rows}
+    want = {c for _, c in ngramjoin.brute_force(texts, 80, 5).values()}
+    assert want < {c for _, c in ngramjoin.brute_force(texts).values()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF).collect()) == sorted(want)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngramjoin.join(docs, 80, 5).collect()}
+    assert got == ngramjoin.brute_force(texts, 80, 5)
+
+
 @pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES])
 def test_stages_stand_empty_tables(spark, stage):
     assert stage(spark, odd(spark).select(*COLUMNS).limit(0), SF).count() == 0
