@@ -2,8 +2,8 @@
 
 A conversation becomes one formatted text, kept as a row per turn (segment) with its place in the text. Every assistant
 turn is an example of its own: all turns before it are context, and only its reply is trainable. Examples point into the
-formatted text, so a conversation of n turns takes space in proportion to n, not to its square; `materialised` writes
-their texts out.
+formatted text, so a conversation of n turns takes space in proportion to n, not to its square; `digests` reads
+them back, and `materialised` writes their texts out.
 """
 
 from __future__ import annotations
@@ -102,9 +102,15 @@ def materialised(segs: DataFrame) -> DataFrame:
     return out.select("conv_id", "target", F.substring("whole", F.lit(1), F.col("loss_end").cast("int")).alias("text"), "loss_start", "loss_end")
 
 
-def digests(segs: DataFrame) -> DataFrame:
-    """Reads the formatted turns back: per conversation, turns and their hash, trained code points and their hash, formatted code points."""
+def digests(segs: DataFrame, made: DataFrame | None = None) -> DataFrame:
+    """Reads the examples back: per conversation, turns and their hash, trained code points and their hash, formatted code points.
+
+    The examples (`made`; by default those of `examples`, written to the shared folder) meet the turns they point into, in order
+    and streaming. The context of each must be all turns before its target. What is trained comes from their loss spans alone;
+    the formatted text ends with the last example, and turns after the last reply are added from the segments.
+    """
     ship(segs.sparkSession)
+    made = written(examples(segs), "examples") if made is None else made
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -115,26 +121,37 @@ def digests(segs: DataFrame) -> DataFrame:
         def done(rows: list) -> object:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[x.split()[0] for x in DIGESTS.split(", ")])
 
-        close = lambda s: (s["conv"], s["turns"], s["all"].hexdigest(), s["chars"], s["loss"].hexdigest(), s["size"])
+        close = lambda s: (s["conv"], s["turns"], s["all"].hexdigest(), s["chars"], s["loss"].hexdigest(), s["end"] + s["after"])
         for b in batches:
             rows = []
-            for conv, segment, start, a, e in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+            for conv, seq, segment, start, a, e in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
                 if state is None or state["conv"] != conv:
                     if state is not None:
                         rows.append(close(state))
-                    state = {"conv": conv, "turns": 0, "all": hashlib.sha256(), "chars": 0, "loss": hashlib.sha256(), "size": 0}
-                for role, text in parsed(segment):
-                    state["turns"] += 1
-                    state["all"].update(f"{role}\n{text}\n".encode())
-                if a is not None:
-                    loss = unescaped(segment[a - start : e - start])
-                    state["chars"] += len(loss)
-                    state["loss"].update(loss.encode())
-                state["size"] += len(segment)
+                    state = {"conv": conv, "turns": 0, "all": hashlib.sha256(), "chars": 0, "loss": hashlib.sha256(), "end": 0, "after": 0, "target": None}
+                if segment is not None:
+                    if start != state["end"] + state["after"]:
+                        raise ValueError("a turn that does not follow the one before")
+                    for role, text in parsed(segment):
+                        state["turns"] += 1
+                        state["all"].update(f"{role}\n{text}\n".encode())
+                    state["target"] = seq, start, segment
+                    state["after"] += len(segment)
+                    continue
+                if state["target"] is None or state["target"][:2] != (seq, start):
+                    raise ValueError("an example whose context is not all turns before its target")
+                reply = state["target"][2]
+                loss = unescaped(reply[a - start : e - start])
+                state["chars"] += len(loss)
+                state["loss"].update(loss.encode())
+                state["end"], state["after"] = e + len(CLOSE), 0
             if rows:
                 yield done(rows)
         if state is not None:
             yield done([close(state)])
 
-    rows = _one_place(segs, "seq").select("conv_id", "segment", "start", "loss_start", "loss_end")
+    none = F.lit(None)
+    turns = segs.select("conv_id", "seq", F.lit(0).alias("kind"), "segment", "start", none.cast("long").alias("loss_start"), none.cast("long").alias("loss_end"))
+    targets = made.select("conv_id", F.col("target").alias("seq"), F.lit(1).alias("kind"), none.cast("string").alias("segment"), F.col("context_end").alias("start"), "loss_start", "loss_end")
+    rows = _one_place(turns.union(targets), "seq", "kind").select("conv_id", "seq", "segment", "start", "loss_start", "loss_end")
     return rows.mapInArrow(run, DIGESTS)

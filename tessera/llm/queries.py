@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import chat, media, mixing, ngramjoin, packing, quality, sharding, tokenfile, toxicity, warc
-from tessera.llm.common import load
+from tessera.llm.common import load, written
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +48,8 @@ CONTROL = "\\### Assistant: </turn> ok"
 def op8_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     control = spark.range(2).select(F.lit(-7).cast("long"), "id", F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(CONTROL))
-    return chat.digests(chat.segments(rows.union(control)))
+    segs = chat.segments(rows.union(control))
+    return chat.digests(segs, written(chat.examples(segs), "examples"))
 
 
 def op9_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:

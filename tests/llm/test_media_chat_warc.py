@@ -6,8 +6,9 @@ from collections import Counter, defaultdict
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from tessera.llm import chat, media, warc
+from tessera.llm import chat, media, queries, warc
 from tests.llm.fixtures import empty, odd, odd_rows
 
 
@@ -92,6 +93,24 @@ def test_chat_equals_brute_force(spark):
     assert chat.digests(chat.segments(df.limit(0))).count() == 0
 
 
+def test_the_query_trains_on_its_examples_alone(spark, monkeypatch, tmp_path):
+    rows = [r for r in conversation_rows() if r[0] != 50]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    of = lambda: {r["conv_id"]: r for r in queries.op8_prefix_targets(spark, str(tmp_path)).collect()}
+    whole, expand = of(), chat.examples
+    replies = Counter(c for c, _, role, _ in rows if role == "assistant")
+    segs = chat.segments(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert Counter(r["conv_id"] for r in expand(segs).collect()) == replies
+    monkeypatch.setattr(chat, "examples", lambda s: expand(s).where("conv_id <> 60"))
+    less = of()
+    assert less[60]["loss_chars"] == 0 < whole[60]["loss_chars"] == len("first")
+    assert less[60]["loss_sha256"] == hashlib.sha256(b"").hexdigest()
+    assert all(less[c] == whole[c] for c in range(20))
+    wrong = expand(segs).withColumn("context_end", F.col("context_end") + 1)
+    with pytest.raises(Exception, match="not all turns before"):
+        chat.digests(segs, wrong).collect()
+
+
 def archive(n=6):
     payloads = [(f"page {i} é\r\n\r\n" * (i + 1)).encode() for i in range(n)]
     return [warc.record(i, f"http://x/{i} a\n", p, hashlib.sha256(p).hexdigest(), None, False) for i, p in enumerate(payloads)], payloads
