@@ -1,7 +1,7 @@
 """A toxicity classifier that does not learn group names.
 
 Logistic regression over the presence of words and word beginnings. Besides the labels it learns from counterfactuals: in
-the labelled texts each identity term is swapped for another of its group, and the squared change of the score is
+the labelled texts each identity term is swapped for every other one of its group, and the squared change of the score is
 penalised, so that a neutral mention of a group does not raise the score. Training takes a bounded sample on the driver;
 scoring streams whole texts through numpy, with a model of a few thousand weights.
 """
@@ -33,7 +33,7 @@ STEPS = 400
 BITS = 22
 #: Bytes of a word's beginning that are features, besides the whole word.
 PREFIXES = (4, 5, 6, 8)
-#: Terms that may be exchanged for each other.
+#: Terms that may be exchanged for each other, in English, French, German and Spanish. No term stands in two groups.
 IDENTITIES = (
     ("women", "men", "girls", "boys"),
     ("woman", "man", "girl", "boy"),
@@ -43,6 +43,31 @@ IDENTITIES = (
     ("black", "white", "asian", "latino", "arab"),
     ("immigrants", "refugees", "natives", "foreigners"),
     ("deaf", "blind", "disabled", "elderly", "young"),
+    ("femmes", "hommes", "filles", "garçons"),
+    ("femme", "homme", "fille", "garçon"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("musulman", "chrétien", "juif", "hindou", "bouddhiste", "athée"),
+    ("musulmane", "chrétienne", "juive", "hindoue"),
+    ("homosexuel", "lesbienne", "bisexuel", "hétérosexuel", "transgenre"),
+    ("noirs", "blancs", "asiatiques", "arabes"),
+    ("immigrés", "réfugiés", "autochtones", "étrangers"),
+    ("sourds", "aveugles", "handicapés", "âgés", "jeunes"),
+    ("frauen", "männer", "mädchen", "jungen"),
+    ("frau", "mann"),
+    ("muslime", "christen", "juden", "buddhisten", "atheisten"),
+    ("muslimische", "christliche", "jüdische", "hinduistische", "buddhistische", "atheistische"),
+    ("schwule", "lesbische", "bisexuelle", "heterosexuelle", "transgeschlechtliche"),
+    ("schwarze", "weiße", "asiatische", "arabische"),
+    ("einwanderer", "flüchtlinge", "einheimische", "ausländer"),
+    ("gehörlose", "blinde", "behinderte", "betagte"),
+    ("mujeres", "hombres", "niñas", "niños"),
+    ("mujer", "hombre", "niña", "niño"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("musulmán", "cristiano", "judío", "hindú", "budista", "ateo"),
+    ("homosexual", "lesbiana", "heterosexual", "transgénero"),
+    ("negros", "blancos", "asiáticos", "latinos", "árabes"),
+    ("inmigrantes", "refugiados", "nativos", "extranjeros"),
+    ("sordos", "ciegos", "discapacitados", "ancianos", "jóvenes"),
 )
 
 _TRIM = np.zeros(256, bool)
@@ -79,18 +104,27 @@ def sets(column) -> list[np.ndarray]:
 
 
 _TERMS = {t: (g, i) for g, group in enumerate(IDENTITIES) for i, t in enumerate(group)}
-_TERM = re.compile(r"\b(" + "|".join(sorted(_TERMS, key=len, reverse=True)) + r")\b", re.IGNORECASE)
+_WORD = re.compile(r"\w+")
+
+
+def _terms(text: str) -> set[str]:
+    return {w.lower() for w in set(_WORD.findall(text))} & _TERMS.keys()
 
 
 def swapped(text: str, turn: int = 1) -> str | None:
     """`text` with each identity term replaced by the one `turn` places further in its group; None where there is none."""
 
     def other(m: re.Match) -> str:
-        g, i = _TERMS[m[0].lower()]
-        return IDENTITIES[g][(i + turn) % len(IDENTITIES[g])]
+        g, i = _TERMS.get(m[0].lower(), (None, 0))
+        return m[0] if g is None else IDENTITIES[g][(i + turn) % len(IDENTITIES[g])]
+
+    return _WORD.sub(other, text) if _terms(text) else None
+
 
-    out, n = _TERM.subn(other, text)
-    return out if n else None
+def variants(text: str) -> list[str]:
+    """`text` with its identity terms moved through their whole groups: every place but their own, once."""
+    turns = max((len(IDENTITIES[_TERMS[t][0]]) for t in _terms(text)), default=1)
+    return [swapped(text, turn) for turn in range(1, turns)]
 
 
 @dataclass
@@ -128,8 +162,8 @@ def fit(known: np.ndarray, texts: list[np.ndarray], toxic: np.ndarray, swaps: li
 
     d, k = rows(texts)
     origin = np.array([i for i, _ in swaps], np.int64)
-    d0, k0 = rows([texts[i] for i in origin])
-    d1, k1 = rows([x for _, x in swaps])
+    d0, k0 = rows([np.setdiff1d(texts[i], x) for i, x in swaps])  # what both have cancels out
+    d1, k1 = rows([np.setdiff1d(x, texts[i]) for i, x in swaps])
     m = max(1, len(origin))
     weigh = np.where(toxic > 0, TOXIC_WEIGHT, 1.0)
     weigh /= weigh.mean()
@@ -192,15 +226,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
         for b in batches:
             text = b.column(2)
-            others = [swapped(t or "") for t in text.to_pylist()]
             own = [x.astype("<u4").tobytes() for x in sets(text)]
-            new = iter(sets(pa.array([o for o in others if o is not None], pa.string())))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(own, pa.binary()), pa.array([None if o is None else next(new).astype("<u4").tobytes() for o in others], pa.binary())],
-                names=["doc_id", "toxic", "own", "swapped"],
-            )
+            new = [[x.astype("<u4").tobytes() for x in sets(pa.array(o, pa.string()))] if (o := variants(t or "")) else [] for t in text.to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(own, pa.binary()), pa.array(new, pa.list_(pa.binary()))], names=["doc_id", "toxic", "own", "swapped"])
 
-    learnt = written(some.mapInArrow(featured, "doc_id long, toxic int, own binary, swapped binary"), "toxicity-sample")
+    learnt = written(some.mapInArrow(featured, "doc_id long, toxic int, own binary, swapped array<binary>"), "toxicity-sample")
     features_ = telling(learnt)
 
     def reduced(batches: Iterator) -> Iterator:
@@ -208,13 +238,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
         place = np.full(1 << BITS, -1, np.int32)
         place[features_] = np.arange(len(features_))
-        known_of = lambda x: None if x is None else (p := place[_of(x)])[p >= 0].astype("<u4").tobytes()
+        known_of = lambda x: (p := place[_of(x)])[p >= 0].astype("<u4").tobytes()
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(list(map(known_of, b.column(i).to_pylist())), pa.binary()) for i in (2, 3)]], names=b.schema.names)
+            own, new = [known_of(x) for x in b.column(2).to_pylist()], [[known_of(x) for x in xs] for xs in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(own, pa.binary()), pa.array(new, pa.list_(pa.binary()))], names=b.schema.names)
 
-    rows = learnt.mapInArrow(reduced, "doc_id long, toxic int, own binary, swapped binary").collect()
+    rows = learnt.mapInArrow(reduced, "doc_id long, toxic int, own binary, swapped array<binary>").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["toxic"], bytes(r["own"])))
-    swaps = [(i, _of(r["swapped"])) for i, r in enumerate(rows) if r["swapped"] is not None]
+    swaps = [(i, _of(x)) for i, r in enumerate(rows) for x in r["swapped"]]
     return fit(features_, [_of(r["own"]) for r in rows], np.array([r["toxic"] for r in rows], float), swaps)
 
 

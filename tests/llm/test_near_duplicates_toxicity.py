@@ -110,6 +110,22 @@ def test_counterfactuals_free_group_names_of_blame(spark, monkeypatch):
     assert toxicity.swapped("no group") is None
 
 
+def test_swaps_go_through_whole_groups_of_all_languages(spark, monkeypatch):
+    terms = [t for g in toxicity.IDENTITIES for t in g]
+    assert len(terms) == len(set(terms)) and all(t == t.lower() for t in terms)
+    assert toxicity.variants("no group") == []
+    assert toxicity.variants("Die Frauen und der Mann") == ["Die männer und der frau", "Die mädchen und der mann", "Die jungen und der frau"]
+    assert {toxicity.swapped(t) for t in ("Les hommes", "los judíos", "MÄDCHEN")} == {"Les filles", "los hindúes", "jungen"}
+    rows = [(i, t.replace("muslims", "ateos"), x) for i, t, x in corpus(1500, random.Random(3), biased=True)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    known = labels(spark, [(i, 1, x) for i, _, x in rows])
+    neutral = pa.array([f"{t} of ren met lo ka" for t in ("ateos", "judíos", "budistas")])
+    fair = toxicity.train(docs, known).scores(neutral)
+    monkeypatch.setattr(toxicity, "COUNTERFACTUAL", 0.0)
+    blind = toxicity.train(docs, known).scores(neutral)
+    assert np.ptp(fair) < 0.5 * np.ptp(blind)
+
+
 def test_toxicity_stands_odd_input(spark):
     assert toxicity.toxicity(odd(spark), labels(spark)).count() == len(odd_rows())
     assert toxicity.toxicity(empty(spark), labels(spark, [(1, 1, 1)])).count() == 0
