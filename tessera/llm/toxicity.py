@@ -215,11 +215,16 @@ def telling(sample: DataFrame) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learns from at most `sample` labelled documents (doc_id and toxic not null, not held out; several labels: toxic if one says so)."""
+    """Learns from at most `sample` labelled documents (doc_id and toxic not null, not held out; several labels: toxic if one says so).
+
+    Of several rows of a doc_id the text first by hash stands for all.
+    """
     ship(docs.sparkSession)
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("_toxic")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    some = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select("doc_id", F.col("_toxic").cast("int"), "text").limit(2 * sample).repartition(16)
+    some = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id")).withColumn("text", F.coalesce("text", F.lit("")))
+    some = some.groupBy("doc_id").agg(F.max("_toxic").cast("int").alias("toxic"), F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first"))
+    some = some.select("doc_id", "toxic", "first.text").repartition(16)
 
     def featured(batches: Iterator) -> Iterator:
         import pyarrow as pa

@@ -1,4 +1,5 @@
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -126,6 +127,22 @@ def test_swaps_go_through_whole_groups_of_all_languages(spark, monkeypatch):
     assert np.ptp(fair) < 0.5 * np.ptp(blind)
 
 
+def test_copies_of_one_document_push_out_no_others(spark):
+    rows = [r for r in corpus(200, random.Random(8)) if zlib.crc32(str(r[0]).encode()) % 5]
+    clean = next(i for i, _, x in rows if not x)
+    copies = [(clean, f"ka lo mi {i}") for i in range(1000)]
+    known = labels(spark, [(i, 1, x) for i, _, x in rows])
+
+    def model(pairs):
+        return toxicity.train(spark.createDataFrame(pairs, "doc_id long, text string"), known, len(rows))
+
+    single = [(i, t) for i, t, _ in rows]
+    one, other = model(copies + single), model(single[::-1] + copies[::-1])
+    assert len(one.known) and one.known.tolist() == other.known.tolist()
+    assert np.array_equal(one.weights, other.weights) and one.bias == other.bias
+    assert (one.scores(pa.array(["ren zonk tas", "ren lo tas"])) >= 0.5).tolist() == [True, False]
+
+
 def test_toxicity_stands_odd_input(spark):
     assert toxicity.toxicity(odd(spark), labels(spark)).count() == len(odd_rows())
     assert toxicity.toxicity(empty(spark), labels(spark, [(1, 1, 1)])).count() == 0
