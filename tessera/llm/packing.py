@@ -3,8 +3,10 @@
 Texts are cut into pieces of at most `capacity` ids. Only the histogram of piece lengths, at most `capacity` counts,
 reaches the driver. There the configuration program (as few bins as cover all counts, one variable per way to fill a bin)
 is solved by multiplicative weights: the price of a length falls as it is covered, and a knapsack dynamic program over
-the capacity finds the fillings worth most at these prices. The fractional solution is rounded down and what is left is
-filled best-fit, largest length first, whole groups of equal bins at a time. Plans have a bounded number of rows; the
+the capacity finds the fillings worth most at these prices. Where there are few lengths, the program is solved to its end
+with the same pricing. A fractional solution is rounded down, then up by largest fraction, and what is left is filled
+best-fit, largest length first, whole groups of equal bins at a time. Of the plans so made, and one that only takes full
+fillings, the one with the fewest bins is kept. Plans have a bounded number of rows; the
 pieces then take their places by their rank among those of their length, without meeting in one task.
 """
 
@@ -23,8 +25,10 @@ CAPACITY = 2048
 END_ID = 0
 #: Rounds of the multiplicative weights, fillings priced in each, share of a filling's room that a step takes, learning rate.
 ROUNDS, PER_ROUND, STEP, RATE = 240, 6, 0.25, 3.0
-#: Part of a bin that a filling of the rounded solution may waste.
+#: Part of a bin that a filling of the plan with only full fillings may waste.
 WASTE = 0.002
+#: Lengths up to which the program is solved to its end, and pivots at most.
+FEW, PIVOTS = 64, 1000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
@@ -116,25 +120,40 @@ def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[t
     return [(dict(k), x * min(1.0, scale) if scale < 1 else x) for k, x in found.items()]
 
 
-def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
-    """Fillings (length -> copies) and how many bins are filled so; together they hold each length exactly as often as it occurs."""
-    lengths = np.array(sorted(k for k, n in histogram.items() if n > 0), np.int64)
-    if not len(lengths):
-        return []
-    left = np.array([histogram[int(k)] for k in lengths], np.int64)
+def exact(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[dict[int, int], float]]:
+    """The fractional solution for few lengths: a simplex over the fillings, each priced in by the knapsack."""
+    basis = np.diag((capacity // lengths).astype(np.float64))
+    for _ in range(PIVOTS):
+        prices = np.linalg.solve(basis.T, np.ones(len(lengths)))
+        items = filling(price(lengths, prices, capacity), lengths, counts, capacity)
+        new = np.zeros(len(lengths))
+        new[list(items)] = list(items.values())
+        if prices @ new <= 1 + 1e-9:
+            break
+        x, change = np.linalg.solve(basis, counts), np.linalg.solve(basis, new)
+        ratio = np.where(change > 1e-9, np.maximum(x, 0) / np.maximum(change, 1e-9), np.inf)
+        basis[:, int(ratio.argmin())] = new
+    x = np.linalg.solve(basis, counts)
+    return [({int(k): int(round(column[k])) for k in np.flatnonzero(column > 0.5)}, max(0.0, float(n))) for column, n in zip(basis.T, x, strict=True)]
+
+
+def rounded(plan: list[tuple[dict[int, int], float]], lengths: np.ndarray, counts: np.ndarray, capacity: int, up: bool) -> list[tuple[dict[int, int], int]]:
+    """The fillings of the plan a whole number of times, `up` by largest fraction too, then best fit, largest first."""
+    left = counts.copy()
     out: list[tuple[dict[int, int], int]] = []
 
     def take(items: dict[int, int], times: int) -> None:
-        for k, n in items.items():
-            left[k] -= n * times
-        out.append(({int(lengths[k]): n for k, n in items.items()}, times))
-
-    plan = fractional(lengths, left.astype(np.float64), capacity)
-    used = lambda items: sum(int(lengths[k]) * n for k, n in items.items())
-    for items, x in sorted(plan, key=lambda p: (-used(p[0]), -p[1], sorted(p[0].items()))):
-        times = min([int(x), *(int(left[k]) // n for k, n in items.items())])
-        if times > 0 and used(items) >= capacity * (1 - WASTE):
-            take(items, times)
+        times = min([times, *(int(left[k]) // n for k, n in items.items())])
+        if times > 0:
+            for k, n in items.items():
+                left[k] -= n * times
+            out.append(({int(lengths[k]): n for k, n in items.items()}, times))
+
+    for items, x in plan:
+        take(items, int(x + 1e-6))
+    if up:
+        for items, x in sorted(plan, key=lambda p: -((p[1] + 1e-6) % 1)):
+            take(items, 1)
     while True:  # the rest: best fit, largest first, in groups of equal bins
         there = np.flatnonzero(left)
         if not len(there):
@@ -153,6 +172,23 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dic
         take(items, max(1, min(int(left[k]) // n for k, n in items.items())))
 
 
+def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
+    """Fillings (length -> copies) and how many bins are filled so; together they hold each length exactly as often as it occurs."""
+    lengths = np.array(sorted(k for k, n in histogram.items() if n > 0), np.int64)
+    if not len(lengths):
+        return []
+    counts = np.array([histogram[int(k)] for k in lengths], np.int64)
+    used = lambda items: sum(int(lengths[k]) * n for k, n in items.items())
+    plan = fractional(lengths, counts.astype(np.float64), capacity)
+    by_use = sorted(plan, key=lambda p: (-used(p[0]), -p[1], sorted(p[0].items())))
+    by_value = sorted(plan, key=lambda p: (-p[1], -used(p[0]), sorted(p[0].items())))
+    made = [rounded([p for p in by_use if used(p[0]) >= capacity * (1 - WASTE)], lengths, counts, capacity, up=False)]
+    made.append(rounded(by_value, lengths, counts, capacity, up=True))
+    if len(lengths) <= FEW:
+        made.append(rounded(exact(lengths, counts, capacity), lengths, counts, capacity, up=True))
+    return min(made, key=lambda p: sum(times for _, times in p))
+
+
 def runs(plan: list[tuple[dict[int, int], int]]) -> dict[int, list[np.ndarray]]:
     """length -> [first rank, first sequence, copies a sequence, offset of the first copy], each sorted by rank."""
     rank: dict[int, int] = {}

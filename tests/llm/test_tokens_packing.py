@@ -75,6 +75,19 @@ def test_plans_are_exact_and_near_the_bound(seed):
     assert sum(t for _, t in packing.solve({1100: 7})) == 7
 
 
+@pytest.mark.parametrize("k", [1, 10, 1000])
+def test_few_lengths_lose_no_sequences(k):
+    histogram = {1040: 6 * k, 550: 6 * k, 530: 6 * k, 470: 12 * k}
+    plan = packing.solve(histogram)
+    held = defaultdict(int)
+    for items, times in plan:
+        assert sum(length * n for length, n in items.items()) <= 2048
+        for length, n in items.items():
+            held[length] += n * times
+    assert held == histogram
+    assert sum(t for _, t in plan) == 9 * k
+
+
 def test_token_files_round_trip(spark, tmp_path):
     docs = odd(spark)
     manifest = tokenfile.write(docs, f"file://{tmp_path}/t")
