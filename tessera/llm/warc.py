@@ -7,6 +7,7 @@ as a quarantined gap, and goes on.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -96,50 +97,89 @@ def _whole(raw: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
         raise Damaged("wrong length")
     block = raw[begin:end]
     kind, _, digest = fields.get("warc-block-digest", "").partition(":")
-    if kind == "sha256" and hashlib.sha256(block).hexdigest() != digest:
-        raise Damaged("wrong block digest")
+    if kind.lower() in ("sha1", "sha256"):
+        own = hashlib.new(kind.lower(), block)
+        if digest.lower() != own.hexdigest() and digest.upper().rstrip("=") != base64.b32encode(own.digest()).decode().rstrip("="):
+            raise Damaged("wrong block digest")
     return fields, block, end + 4
 
 
-def _record_at(raw: bytes, at: int) -> tuple[Record, int]:
-    if raw.startswith(b"\x1f\x8b", at):
-        z, parts, to = zlib.decompressobj(31), [], at
+def _inflated(raw: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """What can be inflated of the gzip member at `at`, where it ends, and what is wrong with it."""
+    z, parts, to = zlib.decompressobj(31), [], at
+    while not z.eof and to < len(raw):
+        piece = raw[to : to + CHUNK]
+        before = z.copy()
         try:
-            while not z.eof and to < len(raw):
-                parts.append(z.decompress(raw[to : to + CHUNK]))
-                to += CHUNK
-        except zlib.error as e:
-            raise Damaged("bad gzip member") from e
-        if not z.eof:
-            raise Damaged("cut gzip member")
-        plain, after = b"".join(parts), min(to, len(raw)) - len(z.unused_data)
-        fields, block, end = _whole(plain)
-        if end != len(plain):
-            raise Damaged("bytes behind the record")
-        return Record(at, fields, block), after
-    fields, block, end = _whole(raw, at)
-    return Record(at, fields, block), end
+            parts.append(z.decompress(piece))
+        except zlib.error:
+            for i in range(len(piece)):  # up to the byte that fails
+                try:
+                    parts.append(before.decompress(piece[i : i + 1]))
+                except zlib.error:
+                    break
+            return b"".join(parts), to, "bad gzip member"
+        to += CHUNK
+    return b"".join(parts), min(to, len(raw)) - len(z.unused_data), None if z.eof else "cut gzip member"
 
 
 _STARTS = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
+_VERSION = re.compile(rb"WARC/1\.")
+
+
+def _records_in(plain: bytes, at: int) -> tuple[list[Record], str | None]:
+    """The records one after another in the bytes of a member that begins at `at`, and the first thing wrong between them."""
+    out, place, reason = [], 0, None
+    while place < len(plain):
+        try:
+            fields, block, place = _whole(plain, place)
+            out.append(Record(at, fields, block))
+            continue
+        except Damaged as e:
+            reason = reason or str(e)
+        found = _VERSION.search(plain, place + 1)
+        place = found.start() if found else len(plain)
+    return out, reason
+
+
+def _records_at(raw: bytes, at: int) -> tuple[list[Record], int | None, str | None]:
+    """The records at `at`, where what holds them ends (None: not known), and what is wrong with it."""
+    if raw.startswith(b"\x1f\x8b", at):
+        plain, after, broken = _inflated(raw, at)
+        out, reason = _records_in(plain, at)
+        if not out:
+            raise Damaged(broken or reason or "no record")
+        return out, None if broken else after, broken or reason
+    fields, block, end = _whole(raw, at)
+    return [Record(at, fields, block)], end, None
 
 
 def salvage(raw: bytes) -> Iterator[Record | Gap]:
-    """All records that can be read, in order, and the gaps between them; gaps and records cover every byte once."""
+    """All records that can be read, in order, and the gaps between them.
+
+    Records of one gzip member begin where it does. Of a member with damage its sound records come first, then all its bytes as a
+    gap; else gaps and records cover every byte once.
+    """
     at = 0
     while at < len(raw):
         try:
-            found, at = _record_at(raw, at)
-            yield found
-            continue
+            found, after, reason = _records_at(raw, at)
         except Damaged as e:
-            reason = str(e)
+            found, after, reason = [], None, str(e)
+        yield from found
         start = at
+        if after is not None:
+            at = after
+            if reason:
+                yield Gap(start, at, reason)
+            continue
         for m in _STARTS.finditer(raw, start + 1):
             try:
-                _record_at(raw, m.start())
+                others = _records_at(raw, m.start())[0]
             except Damaged:
                 continue
+            if m[0] == b"WARC/1." and any((x.fields, x.block) == (others[0].fields, others[0].block) for x in found):
+                continue  # stands uncompressed in the member and is read already
             at = m.start()
             break
         else:

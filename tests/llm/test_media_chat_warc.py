@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import random
 import zlib
@@ -139,6 +140,31 @@ def test_salvage_recovers_all_but_the_damaged(zipped):
     assert list(warc.salvage(b"")) == []
 
 
+def test_salvage_reads_all_records_of_a_member():
+    raws, _ = archive()
+    ids = lambda found: [warc.described(x)[0] for x in found if isinstance(x, warc.Record)]
+    whole = warc.member(b"".join(raws))
+    assert ids(warc.salvage(whole)) == list(range(6)) and len(list(warc.salvage(whole))) == 6
+    bad = raws[2].replace(b"page 2", b"pagf 2", 1)
+    found = list(warc.salvage(warc.member(b"".join([*raws[:2], bad, *raws[3:]]))))
+    assert ids(found) == [0, 1, 3, 4, 5] and sum(isinstance(x, warc.Gap) for x in found) == 1
+    noise = [warc.record(i, "u", p := random.Random(i).randbytes(3000), hashlib.sha256(p).hexdigest(), None, False) for i in range(6)]
+    zipped = warc.member(b"".join(noise))
+    found = list(warc.salvage(zipped[: len(zipped) // 2] + warc.member(raws[5])))
+    assert ids(found)[:2] == [0, 1] and ids(found)[-1] == 5 and len(set(ids(found))) == len(ids(found))
+    stored = warc.member(b"".join(raws), 0)
+    assert ids(warc.salvage(stored[: len(stored) - 20])) == [0, 1, 2, 3, 4, 5][: len(ids(warc.salvage(stored[: len(stored) - 20])))]
+
+
+@pytest.mark.parametrize("encoded", [lambda d: d.hex(), lambda d: base64.b32encode(d).decode()])
+def test_salvage_checks_sha1(encoded):
+    block = b"HTTP/1.1 200 OK\r\n\r\nbody"
+    head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Block-Digest: sha1:{encoded(hashlib.sha1(block).digest())}\r\nContent-Length: {len(block)}\r\n\r\n".encode()
+    raw = head + block + b"\r\n\r\n"
+    assert [type(x) for x in warc.salvage(raw)] == [warc.Record]
+    assert [type(x) for x in warc.salvage(raw.replace(b"body", b"bady"))] == [warc.Gap]
+
+
 def test_archives_round_trip(spark, tmp_path):
     big = "x" * 150
     pages = [(1, "http://a", big), (2, "http://b", big), (3, None, big), (4, "u", "small"), (5, "u", "small"), (6, "u", None), (7, "u", ""), (2, "http://b", big), (None, "n", big), (None, "n", "y" * 120), (1, "http://a", big), (9, "l", "é" * 100_000)]
