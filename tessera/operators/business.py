@@ -62,17 +62,21 @@ def date_spine(activity: DataFrame, column: str = "occurred_at") -> DataFrame:
     return activity.select(F.to_date(column).alias("as_of_date")).where("as_of_date is not null").distinct()
 
 
-def point_in_time(hub: DataFrame, key: str, satellites: dict[str, DataFrame], spine: DataFrame) -> DataFrame:
+def point_in_time(hub: DataFrame, key: str, satellites: dict[str, DataFrame], spine: DataFrame, active: DataFrame | None = None) -> DataFrame:
     """For each hub row and day, a pointer `<satellite>_pit_ts` per satellite: the last state by the end of that day, else the ghost.
 
     Daily maxima of all satellites are laid on the hub's days and carried forward by one running window, whose partitions
     hold the days of one hub row. The grid of hub rows and days is the result itself; the spine has a row per day, so it is
-    sent to every task.
+    sent to every task. With `active` (key, as_of_date), only these pairs get pointers: a fact table needs no others, and
+    the grid, which grows with hub rows times days, is not made.
     """
     kind = dict(next(iter(satellites.values())).dtypes)["occurred_at"]
     ghost = F.lit(GHOST_DTS).cast(kind)
     first_day = F.lit("0001-01-01").cast("date")
-    grid = hub.select(key).distinct().join(F.broadcast(spine.select("as_of_date")))
+    if active is None:
+        grid = hub.select(key).distinct().join(F.broadcast(spine.select("as_of_date")))
+    else:
+        grid = active.select(key, "as_of_date").where("as_of_date is not null").distinct()
     daily = [grid.select(key, "as_of_date", F.lit(True).alias("_grid"), *[F.lit(None).cast(kind).alias(n) for n in satellites])]
     for name, sat in satellites.items():
         day = F.coalesce(F.to_date("occurred_at"), first_day)
@@ -88,7 +92,15 @@ def at_pointer(sat: DataFrame, key: str) -> DataFrame:
     return keep_first(sat, [key, "occurred_at"], [F.col("hash_diff").desc_nulls_last()])
 
 
-def bridge(hub_actor: DataFrame, hub_repo: DataFrame, hub_pull_request: DataFrame, hub_issue: DataFrame, link_actor_pull_request: DataFrame, link_actor_issue: DataFrame, assignments: DataFrame) -> DataFrame:
+def bridge(
+    hub_actor: DataFrame,
+    hub_repo: DataFrame,
+    hub_pull_request: DataFrame,
+    hub_issue: DataFrame,
+    link_actor_pull_request: DataFrame,
+    link_actor_issue: DataFrame,
+    assignments: DataFrame,
+) -> DataFrame:
     """Who collaborates on what: actors of pull requests, actors of issues and active assignees, with their business keys.
 
     An assignment knows no repository; its hash is made from the issue's repository name.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.business import at_pointer
+from tessera.operators.business import at_pointer, latest_state
 
 
 def _zero(column: str) -> Column:
@@ -26,6 +26,11 @@ def _activity(mas: DataFrame, link: DataFrame) -> DataFrame:
     return rows.join(link.select("lhk_actor_repo", "hk_repo", "hk_actor"), "lhk_actor_repo")
 
 
+def active_days(mas: DataFrame, link: DataFrame, key: str) -> DataFrame:
+    """The pairs (key, as_of_date) that have facts, for sparse pointers."""
+    return _activity(mas, link).select(key, F.col("activity_date").alias("as_of_date")).distinct()
+
+
 def repo_activity(mas: DataFrame, link_actor_repo: DataFrame, hub_repo: DataFrame, pit_repo_day: DataFrame, profile: DataFrame, stats: DataFrame) -> DataFrame:
     """Grain: repository, day, event type."""
     facts = _activity(mas, link_actor_repo).groupBy("hk_repo", "activity_date", "event_type")
@@ -57,7 +62,11 @@ def developer_360(mas: DataFrame, link_actor_repo: DataFrame, hub_actor: DataFra
     merged = pr_lifecycle.where("is_merged").select(F.col("hk_pull_request").alias("hk_item"), F.lit(True).alias("_merged"))
     items = bridge.groupBy("hk_actor", "item_type", "hk_item").agg(F.bool_or(F.col("relationship_type") == "pr_actor").alias("_acted")).join(merged, "hk_item", "left")
     is_pr = F.col("item_type") == "pull_request"
-    life = items.groupBy("hk_actor").agg(F.count_if(is_pr).alias("prs_acted"), F.count_if(F.col("item_type") == "issue").alias("issues_acted"), F.count_if(is_pr & F.col("_acted") & F.col("_merged")).alias("prs_merged"))
+    life = items.groupBy("hk_actor").agg(
+        F.count_if(is_pr).alias("prs_acted"),
+        F.count_if(F.col("item_type") == "issue").alias("issues_acted"),
+        F.count_if(is_pr & F.col("_acted") & F.col("_merged")).alias("prs_merged"),
+    )
     out = daily.join(hub_actor.select("hk_actor", "actor_login"), "hk_actor")
     out = _as_of(out, "hk_actor", pit_actor_day, {"sat_actor_profile": (profile, {"display_login": "display_login", "avatar_url": "avatar_url"})}).join(life, "hk_actor", "left")
     days = ["events_count", "repos_touched", "pushes"]
@@ -67,19 +76,41 @@ def developer_360(mas: DataFrame, link_actor_repo: DataFrame, hub_actor: DataFra
     )
 
 
-def collaboration(bridge: DataFrame, pr_lifecycle: DataFrame, issue_lifecycle: DataFrame, pit_pull_request_day: DataFrame, details: DataFrame) -> DataFrame:
-    """Grain: item type, repository, number; the state of a pull request is the one its last pointer names."""
+def collaboration(bridge: DataFrame, pr_lifecycle: DataFrame, issue_lifecycle: DataFrame, details: DataFrame) -> DataFrame:
+    """Grain: item type, repository, number; the state of a pull request is its last one.
+
+    That is the state which the pointer of the last day names, for every state lies on a day of the spine.
+    """
     acts = F.col("relationship_type").isin("pr_actor", "issue_actor")
     items = bridge.groupBy("item_type", "repo_name", "item_number", "hk_item").agg(
         F.count_distinct(F.when(acts, F.col("hk_actor"))).alias("participants"), F.max(F.when(F.col("relationship_type") == "issue_assignee", F.col("actor_login"))).alias("active_assignee")
     )
     # a pull request and an issue of one number have one hash: the type is part of the key
     pr = lambda df: df.withColumn("item_type", F.lit("pull_request"))
-    lives = pr(pr_lifecycle.select(F.col("hk_pull_request").alias("hk_item"), "opened_at", "closed_at", "merged_at", "is_merged", F.col("cycle_time_hours").alias("resolution_hours"), F.lit(None).cast("long").alias("assignee_change_count")))
-    issues = issue_lifecycle.select(F.col("hk_issue").alias("hk_item"), "opened_at", "closed_at", F.col("time_to_close_hours").alias("resolution_hours"), "assignee_change_count", F.lit("issue").alias("item_type"))
+    lives = pr(
+        pr_lifecycle.select(
+            F.col("hk_pull_request").alias("hk_item"),
+            "opened_at",
+            "closed_at",
+            "merged_at",
+            "is_merged",
+            F.col("cycle_time_hours").alias("resolution_hours"),
+            F.lit(None).cast("long").alias("assignee_change_count"),
+        )
+    )
+    issues = issue_lifecycle.select(
+        F.col("hk_issue").alias("hk_item"),
+        "opened_at",
+        "closed_at",
+        F.col("time_to_close_hours").alias("resolution_hours"),
+        "assignee_change_count",
+        F.lit("issue").alias("item_type"),
+    )
     lives = lives.unionByName(issues, allowMissingColumns=True)
-    last = pit_pull_request_day.groupBy(F.col("hk_pull_request").alias("hk_item")).agg(F.max("sat_pull_request_details_pit_ts").alias("_ts"))
-    state = at_pointer(details, "hk_pull_request").select(F.col("hk_pull_request").alias("hk_item"), F.col("occurred_at").alias("_ts"), "pr_title", "pr_state")
+    state = latest_state(details.where("occurred_at is not null"), "hk_pull_request").select(F.col("hk_pull_request").alias("hk_item"), "pr_title", "pr_state")
     key = ["hk_item", "item_type"]
-    out = items.join(lives, key, "left").join(pr(last.join(state, ["hk_item", "_ts"])), key, "left")
-    return out.select("item_type", "repo_name", "item_number", "participants", "active_assignee", "pr_title", "pr_state", "opened_at", "closed_at", "merged_at", "is_merged", "resolution_hours", _zero("assignee_change_count").alias("assignee_change_count"), "hk_item")
+    out = items.join(lives, key, "left").join(pr(state), key, "left")
+    return out.select(
+        "item_type", "repo_name", "item_number", "participants", "active_assignee", "pr_title", "pr_state", "opened_at", "closed_at", "merged_at", "is_merged", "resolution_hours",
+        _zero("assignee_change_count").alias("assignee_change_count"), "hk_item",
+    )

@@ -37,8 +37,54 @@ def union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def extracted(staged: dict[str, DataFrame], sources: Sequence[Extract]) -> DataFrame:
+@dataclass(frozen=True)
+class Wide:
+    """Staged frames in one: the frame's name in `frame`, and the columns of all frames, null where a frame lacks them.
+
+    An object is extracted from all its frames in one scan; `Wide` otherwise reads like a dict of frames.
+    """
+
+    df: DataFrame
+    frames: tuple[str, ...]
+
+    def __contains__(self, frame: str) -> bool:
+        return frame in self.frames
+
+    def __getitem__(self, frame: str) -> DataFrame:
+        return self.df.where(F.col("frame") == frame).drop("frame")
+
+    def extracted(self, sources: Sequence[Extract], keep: Sequence[str] = ("event_id", "record_source", "occurred_at")) -> DataFrame:
+        """The rows of all extracts; a row whose frame has several extracts stands in each."""
+        turns: list[dict[str, Extract]] = []  # no frame twice in a turn
+        for s in (s for s in sources if s.frame in self.frames):
+            turn = next((t for t in turns if s.frame not in t), None)
+            if turn is None:
+                turns.append(turn := {})
+            turn[s.frame] = s
+        columns = list(dict.fromkeys(c for s in sources for c in s.columns))
+        rest = [F.col(c) for c in keep if c not in columns]
+
+        def rows(turn: dict[str, Extract]) -> Column:
+            here = [(F.col("frame") == f) & (F.expr(s.where) if s.where else F.lit(True)) for f, s in turn.items()]
+            return reduce(lambda a, b: a | b, here)
+
+        def value(turn: dict[str, Extract], column: str) -> Column:
+            of = {f: s.columns[column] for f, s in turn.items() if column in s.columns}
+            if len(set(of.values())) == 1 and len(of) == len(turn):
+                return F.col(next(iter(of.values()))).alias(column)
+            return F.coalesce(*[F.when(F.col("frame") == f, F.col(c)) for f, c in of.items()]).alias(column) if of else F.lit(None).alias(column)
+
+        if len(turns) == 1:
+            return self.df.where(rows(turns[0])).select(*[value(turns[0], c) for c in columns], *rest)
+        each = F.array_compact(F.array(*[F.when(rows(t), F.struct(*[value(t, c) for c in columns])) for t in turns]))
+        base = self.df.where(F.col("frame").isin(sorted({f for t in turns for f in t})))
+        return base.select(F.explode(each).alias("_x"), *rest).select("_x.*", *rest)
+
+
+def extracted(staged: dict[str, DataFrame] | Wide, sources: Sequence[Extract]) -> DataFrame:
     """The union of the extracts whose frames are there."""
+    if isinstance(staged, Wide):
+        return staged.extracted(sources)
     return union([s.of(staged) for s in sources if s.frame in staged])
 
 

@@ -43,8 +43,12 @@ class World:
         i = 5001 + len(self.repos)
         name = f"{owner['login']}/{like['full_name'].split('/')[1] if like else self.word(2) + '-' + self.word(2) + str(i)}"
         r = {
-            "id": i, "name": name.split("/")[1], "full_name": name, "owner": {"login": owner["login"]}, "language": self.rng.choice(["Python", "Go", "Rust", "Scala", None]), "default_branch": self.rng.choice(["main"] * 3 + ["trunk"]),
-            "license": self.rng.choice([{"key": "mit"}, {"key": "apache-2.0"}, None]), "created_at": created_at, "stargazers_count": self.rng.randint(0, 50), "forks_count": self.rng.randint(0, 10), "open_issues_count": 0, "watchers_count": self.rng.randint(0, 30),
+            "id": i, "name": name.split("/")[1], "full_name": name, "owner": {"login": owner["login"]}, "language": self.rng.choice(
+                ["Python", "Go", "Rust", "Scala", None]
+            ), "default_branch": self.rng.choice(["main"] * 3 + ["trunk"]),
+            "license": self.rng.choice(
+                [{"key": "mit"}, {"key": "apache-2.0"}, None]
+            ), "created_at": created_at, "stargazers_count": self.rng.randint(0, 50), "forks_count": self.rng.randint(0, 10), "open_issues_count": 0, "watchers_count": self.rng.randint(0, 30),
         }
         self.repos.append(r)
         return r
@@ -62,12 +66,30 @@ class World:
 def _payload(w: World, kind: str, repo: dict, now: str) -> dict:
     if kind == "PushEvent":
         size = w.rng.randint(1, 8)
-        return {"push_id": w.rng.randint(10**6, 10**7), "size": size, "distinct_size": w.rng.randint(1, size), "ref": f"refs/heads/{repo['default_branch']}", "head": f"{w.rng.getrandbits(160):040x}", "before": f"{w.rng.getrandbits(160):040x}"}
+        return {
+            "push_id": w.rng.randint(10**6, 10**7),
+            "size": size,
+            "distinct_size": w.rng.randint(1, size),
+            "ref": f"refs/heads/{repo['default_branch']}",
+            "head": f"{w.rng.getrandbits(160):040x}",
+            "before": f"{w.rng.getrandbits(160):040x}",
+        }
     if kind == "PullRequestEvent":
         pr, action = w.item("pr", repo, w.pick(PR_ACTIONS))
         pr["state"] = "closed" if action == "closed" else "open"
         pr["merged"] = pr["merged"] or (action == "closed" and w.rng.random() < 0.7)
-        return {"action": action, "number": pr["number"], "pull_request": {"number": pr["number"], "title": pr["title"], "state": pr["state"], "merged": pr["merged"], "base": {"ref": repo["default_branch"], "repo": dict(repo)}, "head": {"ref": pr["head"]}}}
+        return {
+            "action": action,
+            "number": pr["number"],
+            "pull_request": {
+                "number": pr["number"],
+                "title": pr["title"],
+                "state": pr["state"],
+                "merged": pr["merged"],
+                "base": {"ref": repo["default_branch"], "repo": dict(repo)},
+                "head": {"ref": pr["head"]},
+            },
+        }
     if kind == "IssuesEvent":
         issue, action = w.item("issue", repo, w.pick(ISSUE_ACTIONS))
         repo["open_issues_count"] += {"opened": 1, "reopened": 1, "closed": -1}.get(action, 0)
@@ -111,7 +133,15 @@ def generate(folder: str | Path, events: int = 2000, seed: int = 42, corrupt: fl
         at, kind = now.strftime("%Y-%m-%dT%H:%M:%SZ"), w.pick(WEIGHTS)
         actor, repo = w.rng.choice(w.actors), w.rng.choice(w.repos)
         payload = _payload(w, kind, repo, at)
-        event = {"id": str(10**9 + i), "type": kind, "actor": actor, "repo": {"id": repo["id"], "name": repo["full_name"], "url": f"https://api.example.test/repos/{repo['full_name']}"}, "payload": payload, "public": True, "created_at": at}
+        event = {
+            "id": str(10**9 + i),
+            "type": kind,
+            "actor": actor,
+            "repo": {"id": repo["id"], "name": repo["full_name"], "url": f"https://api.example.test/repos/{repo['full_name']}"},
+            "payload": payload,
+            "public": True,
+            "created_at": at,
+        }
         line = json.dumps(event)
         if noise.random() < corrupt:
             line, bad = damaged(line, noise), bad + 1

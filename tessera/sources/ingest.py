@@ -33,14 +33,14 @@ def audited(df: DataFrame, run_id: str) -> DataFrame:
     return df.withColumns({"run_id": F.lit(run_id), "ingest_ts": now, "ingest_date": F.to_date(now)})
 
 
-def copy_into(store: TableStore, folder: str, run_id: str, event_types: list[str] = EVENT_TYPES, dataset: str = "github_archive", compat: bool = False) -> dict[str, int]:
+def copy_into(store: TableStore, folder: str, run_id: str, event_types: list[str] = EVENT_TYPES, dataset: str = "github_archive", compat: bool = False, suffix: str = ".ndjson") -> dict[str, int]:
     """Loads the files that the ledger does not list; counts of files, lines, events and quarantined lines.
 
     Quarantine, events and ledger are written in this order, each at once or not at all. After a crash in between, the rerun
-    finds the files that a table already holds and adds none of them twice. Spark does not list empty files, so they are never new..
+    finds the files that a table already holds and adds none of them twice. Spark does not list empty files, so they are never new.
     """
     spark = store.spark
-    listed = list_files(spark, folder)
+    listed = list_files(spark, folder, suffix)
     if store.exists(LEDGER):
         listed = listed.join(store.read(LEDGER).select("file_path"), "file_path", "left_anti")
     files = listed.collect()
@@ -59,7 +59,13 @@ def copy_into(store: TableStore, folder: str, run_id: str, event_types: list[str
         valid = valid.select("event_key", "raw_value", "event_type", (F.col("created_ts").cast("long") * 1000).alias("ts_ms"), "source_ref")
         events = store.append(EVENTS, audited(missing(EVENTS, valid), run_id), ["ingest_date", "event_type"])
         counts = lines.groupBy(F.col("source_ref").alias("file_path")).agg(F.count(F.lit(1)).alias("rows_loaded"))
-        ledger = listed.select("file_path").join(counts, "file_path", "left").select("file_path", F.lit(dataset).alias("dataset"), F.coalesce("rows_loaded", F.lit(0).cast("long")).alias("rows_loaded"), F.lit(run_id).alias("run_id"), F.current_timestamp().alias("loaded_at"))
+        ledger = listed.select("file_path").join(counts, "file_path", "left").select(
+            "file_path",
+            F.lit(dataset).alias("dataset"),
+            F.coalesce("rows_loaded", F.lit(0).cast("long")).alias("rows_loaded"),
+            F.lit(run_id).alias("run_id"),
+            F.current_timestamp().alias("loaded_at"),
+        )
         store.append(LEDGER, ledger)
         total = lines.count()
     finally:

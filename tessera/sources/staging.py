@@ -29,9 +29,23 @@ COLUMNS = {
         "base_repo_default_branch": "payload.pull_request.base.repo.default_branch", "base_repo_license": "payload.pull_request.base.repo.license.key", "base_repo_created_at": "payload.pull_request.base.repo.created_at:ts",
         "base_repo_stargazers": "payload.pull_request.base.repo.stargazers_count", "base_repo_forks": "payload.pull_request.base.repo.forks_count", "base_repo_open_issues": "payload.pull_request.base.repo.open_issues_count", "base_repo_watchers": "payload.pull_request.base.repo.watchers_count",
     },
-    "IssuesEvent": {"action": "payload.action", "issue_number": "payload.issue.number", "issue_title": "payload.issue.title", "issue_state": "payload.issue.state", "issue_comments": "payload.issue.comments", "assignee_login": "payload.assignee.login"},
+    "IssuesEvent": {
+        "action": "payload.action",
+        "issue_number": "payload.issue.number",
+        "issue_title": "payload.issue.title",
+        "issue_state": "payload.issue.state",
+        "issue_comments": "payload.issue.comments",
+        "assignee_login": "payload.assignee.login",
+    },
     "WatchEvent": {"action": "payload.action"},
-    "ForkEvent": {"forkee_full_name": "payload.forkee.full_name", "forkee_owner": "payload.forkee.owner.login", "forkee_language": "payload.forkee.language", "forkee_default_branch": "payload.forkee.default_branch", "forkee_license": "payload.forkee.license.key", "forkee_created_at": "payload.forkee.created_at:ts"},
+    "ForkEvent": {
+        "forkee_full_name": "payload.forkee.full_name",
+        "forkee_owner": "payload.forkee.owner.login",
+        "forkee_language": "payload.forkee.language",
+        "forkee_default_branch": "payload.forkee.default_branch",
+        "forkee_license": "payload.forkee.license.key",
+        "forkee_created_at": "payload.forkee.created_at:ts",
+    },
     "ReleaseEvent": {"action": "payload.action", "release_tag": "payload.release.tag_name", "release_name": "payload.release.name", "release_prerelease": "payload.release.prerelease"},
 }
 
@@ -70,7 +84,9 @@ def stage(bronze: DataFrame, prefix: str = "gharchive") -> dict[str, DataFrame]:
     out = {}
     for kind, columns in COLUMNS.items():
         schema = f"{ENVELOPE}, {ACTOR}, {REPO}, payload {PAYLOADS[kind]}"
-        df = bronze.where(F.col("event_type") == kind).select(F.from_json("raw_value", schema).alias("e"))
+        # a value that is not deterministic keeps filters above from being pushed below, where each column would parse again
+        parsed = F.when(F.monotonically_increasing_id() >= 0, F.from_json("raw_value", schema))
+        df = bronze.where(F.col("event_type") == kind).select(parsed.alias("e"))
         df = df.select(*[_path(p).alias(c) for c, p in {**COMMON, **columns}.items()])
         out[kind] = df.withColumns({"record_source": F.lit(f"{prefix}.{kind}"), "occurred_at": F.col("created_at")})
     return out
