@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import hash_diff, hash_key
 from tessera.operators import business, checks, contracts, marts, vault
 from tessera.oracles import ORACLES
+from tessera.plans import build
 from tessera.plans.build import raw_vault
 from tessera.plans.model import GITHUB
-from tessera.sources import adapter
-from tessera.sources.staging import classified, split
+from tessera.session import shared_dir
+from tessera.sources import adapter, ingest
+from tessera.sources.staging import EVENT_TYPES, classified, split, stage
+from tessera.sources.store import TableStore
 
 __all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
 
@@ -28,7 +31,7 @@ class Tables:
         self.spark, self.dir = spark, sf_dir
         e = adapter.events(spark, sf_dir)
         self.events = e.union(e.where("event_id % 3 = 0")) if resend else e
-        self.raw = {k: df for k, (df, _) in raw_vault(GITHUB, adapter.staged(self.events)).items()}
+        self.raw = {k: df for k, (df, _) in raw_vault(GITHUB, adapter.wide(self.events)).items()}
 
     def table(self, name: str) -> DataFrame:
         return adapter.table(self.spark, self.dir, name)
@@ -36,9 +39,11 @@ class Tables:
     def resolved(self) -> DataFrame:
         return business.resolve_effectivity(self.raw["eff_sat_issue_assignee"], EFF_KEYS)
 
-    def pit(self, name: str) -> DataFrame:
+    def pit(self, name: str, sparse: bool = False) -> DataFrame:
         hub, sats = GITHUB.pits[name]
-        return business.point_in_time(self.raw[hub], GITHUB.hub(hub).key, {s: self.raw[s] for s in sats}, business.date_spine(self.raw["sat_actor_repo_event"]))
+        key, mas = GITHUB.hub(hub).key, self.raw["sat_actor_repo_event"]
+        active = marts.active_days(mas, self.raw["link_actor_repo"], key) if sparse else None
+        return business.point_in_time(self.raw[hub], key, {s: self.raw[s] for s in sats}, business.date_spine(mas), active)
 
     def bridge(self) -> DataFrame:
         return business.bridge(*[self.raw[n] for n in ("hub_actor", "hub_repo", "hub_pull_request", "hub_issue", "link_actor_pull_request", "link_actor_issue")], self.resolved())
@@ -61,7 +66,12 @@ def query(f):
 @query
 def hash_keys_user_entity(spark, d):
     e = adapter.events(spark, d).withColumn("entity", F.concat(F.lit(" k/"), "k"))
-    return e.select("event_id", hash_key(["user_id"]).alias("hk_user"), hash_key(["user_id", "entity"]).alias("lhk"), hash_diff([F.nullif(F.col("event_type"), F.lit("error")), F.col("k")]).alias("hash_diff"))
+    return e.select(
+        "event_id",
+        hash_key(["user_id"]).alias("hk_user"),
+        hash_key(["user_id", "entity"]).alias("lhk"),
+        hash_diff([F.nullif(F.col("event_type"), F.lit("error")), F.col("k")]).alias("hash_diff"),
+    )
 
 
 @query
@@ -82,15 +92,112 @@ def envelope_reasons_compat(spark, d):
     return df.groupBy(F.coalesce("error_reason", F.lit("valid")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _landed(spark, d, name: str) -> str:
+    """A lakehouse root whose folder `landing` has the feed's lines as text."""
+    root = shared_dir(spark, name)
+    adapter.feed(adapter.events(spark, d)).select("value").write.option("compression", "none").text(f"{root}/landing")
+    return root
+
+
+def _staged(spark, d):
+    """The frames of the sound lines of the feed, as read from files."""
+    valid, _ = split(classified(ingest.read_lines(spark, [f"{_landed(spark, d, 'feed')}/landing"]), EVENT_TYPES))
+    return stage(valid)
+
+
+STAGED = {
+    "actor_login": "string", "actor_display_login": "string", "repo_name": "string", "action": "string", "push_size": "int", "ref_name": "string", "pr_number": "int", "pr_title": "string", "pr_merged": "boolean", "head_ref": "string",
+    "base_repo_owner": "string", "base_repo_license": "string", "base_repo_stargazers": "bigint", "issue_number": "int", "issue_state": "string", "issue_comments": "int", "assignee_login": "string",
+}
+
+
 @query
 def stage_events(spark, d):
-    frames = adapter.staged(adapter.events(spark, d))
-    return frames["IssuesEvent"].select("event_id", "actor_login", "repo_name", "action", "issue_number", "assignee_login", "record_source", "occurred_at")
+    """Lines of nested JSON, classified, parsed by type and laid flat."""
+    columns = [lambda df, c=c, k=k: (F.col(c) if c in df.columns else F.lit(None)).cast(k).alias(c) for c, k in STAGED.items()]
+    return vault.union([df.select("event_id", "record_source", F.col("occurred_at").cast("long").alias("occurred_s"), *[f(df) for f in columns]) for df in _staged(spark, d).values()])
+
+
+@query
+def contract_violations_by_type(spark, d):
+    """What the feed's contracts reject, by event type and violation."""
+    enforce = lambda t, df: (lambda good, bad: (good, bad.select("event_id", "violations")))(*contracts.enforce(df, contracts.GITHUB_CONTRACTS[t]))
+    _, bad = build.enforced(_staged(spark, d), enforce)
+    return bad.select("event_type", F.explode("violations").alias("violation")).groupBy("event_type", "violation").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _table(spark, rows: list[tuple[str, int]]) -> DataFrame:
+    return spark.createDataFrame([(k, int(n)) for k, n in rows], "what string, n long")
+
+
+@query
+def copy_into_ledger(spark, d):
+    """Two runs of the exactly-once load of files; what they report, and what bronze, quarantine and ledger then hold."""
+    root = _landed(spark, d, "copy-into")
+    store, rows = TableStore(spark, root), []
+    for run in ("first", "second"):
+        n = ingest.copy_into(store, f"{root}/landing", run, suffix=".txt")
+        rows += [(f"{run}/{k}", n[k]) for k in ("lines", "events", "quarantined")]
+    count = F.count(F.lit(1)).alias("n")
+    events, bad, ledger = (store.read(t) for t in (ingest.EVENTS, ingest.QUARANTINE, ingest.LEDGER))
+    return vault.union(
+        [
+            _table(spark, rows),
+            events.groupBy(F.concat(F.lit("event/"), "event_type").alias("what")).agg(count),
+            events.agg(F.count_distinct("event_key").alias("n")).select(F.lit("keys").alias("what"), "n"),
+            bad.groupBy(F.concat(F.lit("bad/"), "error_reason").alias("what")).agg(count),
+            ledger.agg(F.sum("rows_loaded").alias("n")).select(F.lit("ledger").alias("what"), "n"),
+            ledger.join(events.select("source_ref").distinct(), F.col("file_path") == F.col("source_ref"), "left_anti").agg(count).select(F.lit("files without events").alias("what"), "n"),
+        ]
+    )
+
+
+@query
+def store_tables(spark, d):
+    """Appends, conditional appends with a new column, an insert-only replay, compaction and an overwrite: rows and sums after each."""
+    store, e = TableStore(spark, shared_dir(spark, "store")), adapter.events(spark, d)
+    t, out = "events", []
+
+    def state(step: str, n: int) -> None:
+        types = F.count_distinct("event_type") if "event_type" in store.read(t).columns else F.lit(0).cast("long")
+        r = store.read(t).agg(F.count(F.lit(1)), F.sum("event_id"), types).first()
+        out.append((step, n, *r))
+
+    old = e.select("event_id", "user_id")
+    state("append", store.append(t, old.where("event_id % 4 = 0")))
+    state("insert_only", store.insert_only(t, e.select("event_id", "user_id", "event_type").where("event_id % 2 = 0"), ["event_id"]))
+    state("replay", store.insert_only(t, e.select("event_id", "user_id", "event_type").where("event_id % 2 = 0"), ["event_id"]))
+    state("compact", store.compact(t))
+    state("vacuum", store.vacuum(t))
+    state("overwrite", store.overwrite(t, store.read(t).where("event_id % 8 = 0"), ["event_type"]))
+    return spark.createDataFrame(out, "step string, written long, n_rows long, id_sum long, n_types long")
+
+
+@query
+def vault_load_counts(spark, d):
+    """Two loads of the raw vault, from two halves of the feed as they come to bronze; rows added to each object by each, and by a full reload."""
+    root = shared_dir(spark, "vault-load")
+    store, rows = TableStore(spark, root), []
+    enforce = lambda t, df: (lambda good, bad: (good, contracts.quarantine_rows(bad, "run")))(*contracts.enforce(df, contracts.GITHUB_CONTRACTS[t]))
+    e = adapter.events(spark, d)
+    middle = e.agg(F.max("event_id")).first()[0] // 2
+    for load, half in (("first", e.where(F.col("event_id") <= middle)), ("second", e.where(F.col("event_id") > middle))):
+        adapter.feed(half).select("value").write.text(f"{root}/landing/{load}")
+        valid, _ = split(classified(ingest.read_lines(spark, [f"{root}/landing/{load}"]), EVENT_TYPES))
+        store.append(ingest.EVENTS, valid.select("event_key", "raw_value", "event_type", "source_ref"), ["event_type"])
+        rows += [(f"{load}/{k}", n) for k, n in build.load_raw_vault(store, GITHUB, enforce).items()]
+    rows.append(("reload", sum(build.verify_idempotent(store, GITHUB, enforce).values())))
+    return _table(spark, rows)
 
 
 EVENT_CONTRACT = contracts.Contract(
     "event", 1,
-    (contracts.Field("event_id", "bigint", False), contracts.Field("event_type", "string", False, ("click", "view", "purchase")), contracts.Field("k", "integer"), contracts.Field("ts", "timestamp", False)),
+    (
+        contracts.Field("event_id", "bigint", False),
+        contracts.Field("event_type", "string", False, ("click", "view", "purchase")),
+        contracts.Field("k", "integer"),
+        contracts.Field("ts", "timestamp", False),
+    ),
     ("event_id",), "ts",
 )
 
@@ -114,7 +221,7 @@ def contract_valid(spark, d):
 @query
 def quarantine_to_json(spark, d):
     _, bad = contracts.enforce(_contracted(spark, d), EVENT_CONTRACT)
-    bad = bad.withColumns({"record_source": F.lit("events"), "occurred_at": F.col("ts")}).where(F.size("violations") == 1)
+    bad = bad.withColumns({"record_source": F.lit("events"), "occurred_at": F.col("ts")})
     return contracts.quarantine_rows(bad, "run").select("event_id", "record_source", "violations", "quarantined_run_id")
 
 
@@ -174,7 +281,7 @@ def eff_after_resend(spark, d):
 def insert_only_replay(spark, d):
     """A first load of half of the events' states, then one of all, then the same again."""
     e = adapter.events(spark, d)
-    half, whole = (raw_vault(GITHUB, adapter.staged(x))["link_actor_repo"][0] for x in (e.where("event_id % 2 = 0"), e))
+    half, whole = (raw_vault(GITHUB, adapter.wide(x))["link_actor_repo"][0] for x in (e.where("event_id % 2 = 0"), e))
     first = vault.new_rows(half, None, ["lhk_actor_repo"])
     second = vault.new_rows(whole, first, ["lhk_actor_repo"])
     third = vault.new_rows(whole, first.unionByName(second), ["lhk_actor_repo"])
@@ -219,19 +326,19 @@ def lifecycle_with_churn(spark, d):
 @query
 def entity_activity_mart(spark, d):
     t = Tables(spark, d)
-    return marts.repo_activity(t.raw["sat_actor_repo_event"], t.raw["link_actor_repo"], t.raw["hub_repo"], t.pit("pit_repo_day"), t.raw["sat_repo_profile"], t.raw["sat_repo_stats"])
+    return marts.repo_activity(t.raw["sat_actor_repo_event"], t.raw["link_actor_repo"], t.raw["hub_repo"], t.pit("pit_repo_day", sparse=True), t.raw["sat_repo_profile"], t.raw["sat_repo_stats"])
 
 
 @query
 def user_360_mart(spark, d):
     t = Tables(spark, d)
-    return marts.developer_360(t.raw["sat_actor_repo_event"], t.raw["link_actor_repo"], t.raw["hub_actor"], t.pit("pit_actor_day"), t.raw["sat_actor_profile"], t.bridge(), t.pr_life())
+    return marts.developer_360(t.raw["sat_actor_repo_event"], t.raw["link_actor_repo"], t.raw["hub_actor"], t.pit("pit_actor_day", sparse=True), t.raw["sat_actor_profile"], t.bridge(), t.pr_life())
 
 
 @query
 def collaboration_mart(spark, d):
     t = Tables(spark, d)
-    return marts.collaboration(t.bridge(), t.pr_life(), t.issue_life(), t.pit("pit_pull_request_day"), t.raw["sat_pull_request_details"])
+    return marts.collaboration(t.bridge(), t.pr_life(), t.issue_life(), t.raw["sat_pull_request_details"])
 
 
 @query
@@ -313,21 +420,21 @@ def tpch_chain_revenue(spark, d):
 def metrics_latest_run(spark, d):
     from tessera import runs
 
-    steps = adapter.events(spark, d).select(F.concat(F.lit("run-"), "user_id").alias("run_id"), F.col("event_type").alias("pipeline"), F.col("event_id").cast("string").alias("step"), F.col("ts").alias("started_at"))
+    steps = adapter.events(spark, d).select(
+        F.concat(F.lit("run-"), "user_id").alias("run_id"),
+        F.col("event_type").alias("pipeline"),
+        F.col("event_id").cast("string").alias("step"),
+        F.col("ts").alias("started_at"),
+    )
     return runs.latest_run(steps)
 
 
 @query
 def ledger_stream_ingest(spark, d):
     """Two runs of the stream over the events' lines, written as text; the second finds nothing new."""
-    import tempfile
-    import uuid
-
     from tessera.streaming.ingest import stream_into
 
-    conf = spark.sparkContext.getConf()
-    base = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tessera-")
-    base = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = shared_dir(spark, "stream")
     adapter.lines(adapter.events(spark, d)).where("value is not null").select("value").write.text(f"{base}/landing")
     for _ in range(2):
         out = stream_into(spark, f"{base}/landing", f"{base}/table", f"{base}/checkpoint", adapter.TYPES)

@@ -43,8 +43,10 @@ def _bronze(a, store) -> int:
 def _raw_vault(a, store) -> int:
     s, run = store(), runs.current_run_id()
     with runs.track_step(s, run, "raw_vault", "load", "silver") as m:
-        n = build.load_raw_vault(s, GITHUB, _enforcer(run))
-        m.rows_written = sum(n.values())
+        n = build.load_raw_vault(s, GITHUB, _enforcer(run), full=a.full)
+        m.rows_written = sum(v for k, v in n.items() if not k.startswith("quarantine"))
+        m.rows_quarantined = n.get("quarantine")
+        m.extra = {k: str(v) for k, v in n.items() if k.startswith("quarantine/")}
     print(n)
     return 0
 
@@ -72,7 +74,7 @@ def _layer(name: str, layer: str, run_build):
 
 def _dq(a, store) -> int:
     s, run, failed = store(), runs.current_run_id(), 0
-    for suite in checks.vault_suites(GITHUB):
+    for suite in checks.load_suites(a.suites or checks.SUITES):
         with runs.track_step(s, run, "dq", suite.table, suite.layer) as m:
             r = checks.run_suite(suite, s.read)
             m.rows_read, m.dq_checks_passed, m.dq_checks_failed, m.dq_pass_rate = r.row_count, r.count("pass"), r.count("fail"), r.pass_rate
@@ -93,7 +95,8 @@ def _report(a, store) -> int:
 
 
 def _governance(a, store) -> int:
-    print(governance.pii_tags() + "\n" + governance.access_matrix())
+    for path in governance.write_generated(f"{a.root}/governance"):
+        print(path)
     return 0
 
 
@@ -135,6 +138,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--seed", type=int, default=42)
     p.add_argument("--corrupt", type=float, default=0.02)
     p.add_argument("--master")
+    p.add_argument("--suites", help="folder of check suites, instead of those of the feed")
+    p.add_argument("--full", action="store_true", help="load the vault from all of bronze")
     a = p.parse_args(argv)
     a.landing = a.landing or f"{a.root}/landing"
     return STEPS[a.step](a, lambda: TableStore(session(f"tessera-{a.step}", a.master), a.root))

@@ -1,27 +1,20 @@
-"""Tags of personal data and the access matrix, rendered from contracts and grants."""
+"""Tags of personal data and the access matrix, rendered from contracts and from `data/governance.json`."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
+from pathlib import Path
 
 from tessera.operators.contracts import GITHUB_CONTRACTS, Contract
 
-# fixed values: where contract fields land
-PLACEMENTS: dict[str, list[tuple[str, str]]] = {
-    "actor_login": [("silver.raw_vault.hub_actor", "actor_login"), ("gold.marts.developer_360_mart", "actor_login")],
-    "actor_display_login": [("silver.raw_vault.sat_actor_profile", "display_login"), ("gold.marts.developer_360_mart", "display_login")],
-    "actor_avatar_url": [("silver.raw_vault.sat_actor_profile", "avatar_url"), ("gold.marts.developer_360_mart", "avatar_url")],
-    "assignee_login": [("gold.marts.collaboration_mart", "active_assignee")],
-}
-READ, WRITE = ("USE_CATALOG", "USE_SCHEMA", "SELECT"), ("USE_CATALOG", "USE_SCHEMA", "SELECT", "MODIFY", "CREATE_TABLE")
+_RAW = json.loads((Path(__file__).resolve().parent / "data" / "governance.json").read_text(encoding="utf-8"))
+#: Where contract fields land: field -> (table, column).
+PLACEMENTS: dict[str, list[tuple[str, str]]] = {f: [tuple(x) for x in places] for f, places in _RAW["placements"].items()}
+#: principal -> what it is.
+PRINCIPALS: dict[str, str] = {p["name"]: p["kind"] for p in _RAW["principals"]}
 #: (principal, securable, privileges)
-GRANTS = [
-    *[("data-engineers", f"catalog/{c}", WRITE) for c in ("bronze", "silver", "gold")],
-    ("analysts", "catalog/gold", READ),
-    ("svc-ingest", "catalog/bronze", WRITE),
-    ("svc-vault", "catalog/bronze", READ),
-    *[("svc-vault", f"catalog/{c}", WRITE) for c in ("silver", "gold")],
-]
+GRANTS = [(g["principal"], g["securable"], tuple(g["privileges"])) for g in _RAW["grants"]]
 
 
 def pii_tags(contracts: Iterable[Contract] = tuple(GITHUB_CONTRACTS.values()), placements: dict = PLACEMENTS) -> str:
@@ -35,9 +28,36 @@ def pii_tags(contracts: Iterable[Contract] = tuple(GITHUB_CONTRACTS.values()), p
     return "\n".join(sorted(out)) + "\n"
 
 
-def access_matrix(grants: list[tuple[str, str, tuple[str, ...]]] = GRANTS) -> str:
-    """Markdown: a row per principal, a column per securable."""
-    who, what = sorted({g[0] for g in grants}), sorted({g[1] for g in grants})
-    held = {(p, s): ", ".join(sorted(v)) for p, s, v in grants}
-    lines = ["| principal | " + " | ".join(what) + " |", "|---" * (len(what) + 1) + "|"]
-    return "\n".join([*lines, *[f"| {p} | " + " | ".join(held.get((p, s), "-") for s in what) + " |" for p in who]]) + "\n"
+def access_matrix(grants: list[tuple[str, str, tuple[str, ...]]] = GRANTS, principals: dict[str, str] = PRINCIPALS) -> str:
+    """Markdown: a row per principal with its kind, a column per securable; fails for a grant to nobody known."""
+    if lost := {g[0] for g in grants} - set(principals):
+        raise LookupError(f"grants to unknown principals {sorted(lost)}")
+    what = sorted({g[1] for g in grants})
+    held: dict[tuple[str, str], set[str]] = {}
+    for p, s, v in grants:
+        held.setdefault((p, s), set()).update(v)
+    cell = lambda p, s: ", ".join(sorted(held[p, s])) if (p, s) in held else "-"
+    lines = ["| principal | kind | " + " | ".join(what) + " |", "|---" * (len(what) + 2) + "|"]
+    return "\n".join([*lines, *[f"| {p} | {kind} | " + " | ".join(cell(p, s) for s in what) + " |" for p, kind in sorted(principals.items())]]) + "\n"
+
+
+def pii_inventory(contracts: Iterable[Contract] = tuple(GITHUB_CONTRACTS.values()), placements: dict = PLACEMENTS) -> str:
+    """Markdown: a row per personal field with its category, the contracts that have it, and where it lands."""
+    found: dict[str, tuple[str, set[str]]] = {}
+    for c in contracts:
+        for f in c.pii_fields:
+            found.setdefault(f.name, (f.pii_category, set()))[1].add(c.contract)
+    lines = ["| field | category | contracts | columns |", "|---|---|---|---|"]
+    for name, (category, where) in sorted(found.items()):
+        lines.append(f"| {name} | {category} | {', '.join(sorted(where))} | {', '.join(f'{t}.{c}' for t, c in placements.get(name, [])) or '-'} |")
+    return "\n".join(lines) + "\n"
+
+
+def write_generated(folder: str | Path) -> list[Path]:
+    """Writes pii_tags.sql and access_matrix.md (with the inventory of personal data)."""
+    folder = Path(folder)
+    folder.mkdir(parents=True, exist_ok=True)
+    out = {"pii_tags.sql": pii_tags(), "access_matrix.md": "# Access\n\n" + access_matrix() + "\n# Personal data\n\n" + pii_inventory()}
+    for name, text in out.items():
+        (folder / name).write_text(text, encoding="utf-8")
+    return [folder / name for name in out]

@@ -172,7 +172,11 @@ def suite_from(raw: dict) -> Suite:
     return Suite(raw["table"], checks, raw.get("layer", ""), raw.get("filter"))
 
 
-def load_suites(folder: str | Path) -> list[Suite]:
+#: The suites of the feed's lakehouse, a file for each table.
+SUITES = Path(__file__).resolve().parents[1] / "data" / "suites"
+
+
+def load_suites(folder: str | Path = SUITES) -> list[Suite]:
     """Suites of a folder of YAML or JSON files; an unknown check fails here."""
     out = []
     for p in sorted(Path(folder).iterdir()):
@@ -202,7 +206,18 @@ def vault_suites(model) -> list[Suite]:
 
     null = lambda *cs: tuple(Check("not_null", column=c) for c in cs)
     ref = lambda column, table: Check("referential_integrity", column=column, ref_table=table, ref_column=column)
-    out = [Suite("bronze/github_events", (*null("event_key"), Check("unique", columns=("event_key",), severity="warn"), Check("accepted_values", column="event_type", values=tuple(EVENT_TYPES)), Check("row_count_between", min_rows=1)), "bronze")]
+    out = [
+        Suite(
+            "bronze/github_events",
+            (
+                *null("event_key"),
+                Check("unique", columns=("event_key",), severity="warn"),
+                Check("accepted_values", column="event_type", values=tuple(EVENT_TYPES)),
+                Check("row_count_between", min_rows=1),
+            ),
+            "bronze",
+        )
+    ]
     for h in model.hubs:
         out.append(Suite(f"raw_vault/{h.name}", (Check("unique", columns=(h.key,)), *null(h.key, *h.business_keys)), "silver"))
     for ln in model.links:

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.sources.staging import EVENT_TYPES
+
 _NAME = re.compile(r"[a-z][a-z0-9_]*")
 _DECIMAL = re.compile(r"decimal\((\d{1,2}),\s*(\d{1,2})\)")
 _TYPES = {"string": T.StringType(), "integer": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampType()}
@@ -170,31 +172,9 @@ def check_folder(folder: str | Path) -> dict[str, list[str]]:
     return out
 
 
-def _fields(extra: str) -> tuple[Field, ...]:
-    """From lines `name type [!] [=value,value] [@category]`; ! is not null."""
-    out = []
-    for line in extra.strip().splitlines():
-        name, kind, *rest = line.split()
-        values = next((tuple(r[1:].split(",")) for r in rest if r[0] == "="), ())
-        out.append(Field(name, kind, "!" not in rest, values, next((r[1:] for r in rest if r[0] == "@"), None)))
-    return tuple(out)
-
-
-# fixed values: what the feed's contracts say
-_COMMON = """event_id string !
-actor_login string ! @quasi_identifier
-actor_display_login string @quasi_identifier
-actor_avatar_url string @quasi_identifier
-repo_name string !
-created_at timestamp !
-"""
-_OWN = {
-    "PushEvent": "push_id bigint\npush_size integer\npush_distinct_size integer\nref_name string",
-    "PullRequestEvent": "action string ! =opened,closed,reopened\npr_number integer !\npr_title string\npr_state string =open,closed\npr_merged boolean\nbase_ref string\nhead_ref string\nbase_repo_owner string\nbase_repo_language string\nbase_repo_default_branch string\nbase_repo_license string\nbase_repo_created_at timestamp\nbase_repo_stargazers bigint\nbase_repo_forks bigint\nbase_repo_open_issues bigint\nbase_repo_watchers bigint",
-    "IssuesEvent": "action string ! =opened,edited,closed,reopened,assigned,unassigned\nissue_number integer !\nissue_title string\nissue_state string =open,closed\nissue_comments integer\nassignee_login string @quasi_identifier",
-    "WatchEvent": "action string ! =started",
-    "ForkEvent": "forkee_full_name string\nforkee_owner string\nforkee_language string\nforkee_default_branch string\nforkee_license string\nforkee_created_at timestamp",
-    "ReleaseEvent": "action string ! =published\nrelease_tag string\nrelease_name string\nrelease_prerelease boolean",
-}
-#: event type -> contract of its staged frame
-GITHUB_CONTRACTS = {t: Contract(re.sub(r"(?<!^)(?=[A-Z])", "_", t).lower(), 1, _fields(_COMMON + own), ("event_id",), "created_at", "data-platform") for t, own in _OWN.items()}
+def contract_name(event_type: str) -> str:
+    return re.sub(r"(?<!^)(?=[A-Z])", "_", event_type).lower()
+
+
+#: Event type -> contract of its staged frame, by the files of the feed's contracts.
+GITHUB_CONTRACTS = {t: c for c in load_contracts(Path(__file__).resolve().parents[1] / "data" / "contracts").values() for t in EVENT_TYPES if contract_name(t) == c.contract}

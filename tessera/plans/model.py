@@ -1,11 +1,16 @@
-"""The declared vault: hubs, links, satellites, point-in-time tables and marts, and where their columns come from."""
+"""The declared vault: hubs, links, satellites, point-in-time tables and marts, and where their columns come from.
+
+A vault is a YAML or JSON file; `data/vault.json` is the one of the source-control feed.
+"""
 
 from __future__ import annotations
 
+import json
+import os
 from dataclasses import dataclass, field
+from pathlib import Path
 
 from tessera.operators.vault import Extract
-from tessera.sources.staging import EVENT_TYPES
 
 
 @dataclass(frozen=True)
@@ -109,48 +114,76 @@ class Vault:
         return name.business_keys if isinstance(name, Hub) else tuple(c for cols in self.parent_keys(name).values() for c in cols)
 
 
-def _same(frames: list[str], *columns: str, where: str | None = None, **renamed: str) -> tuple[Extract, ...]:
-    return tuple(Extract(f, {**{c: c for c in columns}, **renamed}, where) for f in frames)
+@dataclass(frozen=True)
+class Settings:
+    """What a deployment sets besides the vault; folders are absolute or below the root."""
+
+    landing_dir: str
+    lakehouse_root: str
+    run_dir: str
+    reports_dir: str
+    driver_memory: str = "3g"
+    shuffle_partitions: int = 8
+    session_timezone: str = "UTC"
 
 
-_PR, _ISSUE = ["PullRequestEvent"], ["IssuesEvent"]
-_ASSIGNED = "action in ('assigned', 'unassigned') and assignee_login is not null"
-_STATES = {"PushEvent": {"push_size": "push_size", "push_distinct_size": "push_distinct_size", "ref_name": "ref_name"}, "ForkEvent": {}}
 #: The multi-active satellite's attributes with their types, in hash order.
 EVENT_ATTRIBUTES = {"event_type": "string", "action": "string", "push_size": "int", "push_distinct_size": "int", "ref_name": "string"}
+#: The environment's root for relative folders of a configuration.
+ROOT = "LAKEHOUSE_ROOT"
+DATA = Path(__file__).resolve().parents[1] / "data"
+
+
+def read_file(path: str | Path) -> dict:
+    """A YAML or JSON file."""
+    text = Path(path).read_text(encoding="utf-8")
+    if str(path).endswith((".yaml", ".yml")):
+        import yaml
+
+        return yaml.safe_load(text)
+    return json.loads(text)
+
+
+def vault_from(raw: dict) -> Vault:
+    """A vault from its declaration; unknown keys, names that are not there and empty lists fail here."""
+
+    def sources(x: dict) -> tuple[Extract, ...]:
+        return tuple(Extract(s["frame"], dict(s["columns"]), s.get("where")) for s in x.get("sources", ()))
+
+    def made(kind: type, x: dict):
+        rest = {k: tuple(v) if isinstance(v, list) else v for k, v in x.items() if k != "sources"}
+        return kind(**rest, sources=sources(x))
+
+    if not raw.get("hubs") or not raw.get("event_types"):
+        raise ValueError("a vault has event types and hubs")
+    frames = set(raw["event_types"])
+    for x in (*raw["hubs"], *raw.get("links", ()), *raw.get("satellites", ())):
+        if lost := {s["frame"] for s in x.get("sources", ())} - frames:
+            raise ValueError(f"{x['name']}: no event types {sorted(lost)}")
+    pits = {p["name"]: (p["hub"], tuple(p["satellites"])) for p in raw.get("pits", ())}
+    marts = tuple(Mart(m["name"], tuple(m["grain"]), m["pit"]) for m in raw.get("marts", ()))
+    objects = {k: tuple(made(kind, x) for x in raw.get(k, ())) for k, kind in (("hubs", Hub), ("links", Link), ("satellites", Satellite))}
+    vault = Vault(**objects, pits=pits, marts=marts)
+    for hub, satellites in pits.values():
+        vault.hub(hub)
+        for s in satellites:
+            vault.satellite(s)
+    for m in marts:
+        if m.pit not in pits or not m.grain:
+            raise ValueError(f"{m.name}: needs a grain and one of the pointer tables {sorted(pits)}")
+    return vault
+
+
+def load_vault(path: str | Path = DATA / "vault.json") -> Vault:
+    return vault_from(read_file(path))
+
+
+def load_settings(path: str | Path = DATA / "vault.json", root: str | None = None) -> Settings:
+    """The settings of a configuration; relative folders lie below `root`, else the environment's root, else the current folder."""
+    raw = read_file(path)
+    root = root or os.environ.get(ROOT) or os.getcwd()
+    folders = {"landing_dir": raw["source"]["landing_dir"], **raw["storage"]}
+    return Settings(**{k: os.path.normpath(os.path.join(root, v)) for k, v in folders.items()}, **raw.get("spark", {}))
+
 
-GITHUB = Vault(
-    hubs=(
-        Hub("hub_actor", ("actor_login",), _same(EVENT_TYPES, "actor_login") + _same(_ISSUE, actor_login="assignee_login")),
-        Hub("hub_repo", ("repo_name",), _same(EVENT_TYPES, "repo_name") + _same(["ForkEvent"], repo_name="forkee_full_name")),
-        Hub("hub_pull_request", ("repo_name", "pr_number"), _same(_PR, "repo_name", "pr_number")),
-        Hub("hub_issue", ("repo_name", "issue_number"), _same(_ISSUE, "repo_name", "issue_number")),
-    ),
-    links=(
-        Link("link_actor_repo", ("hub_actor", "hub_repo"), _same(EVENT_TYPES, "actor_login", "repo_name")),
-        Link("link_actor_pull_request", ("hub_actor", "hub_pull_request", "hub_repo"), _same(_PR, "actor_login", "repo_name", "pr_number")),
-        Link("link_actor_issue", ("hub_actor", "hub_issue", "hub_repo"), _same(_ISSUE, "actor_login", "repo_name", "issue_number")),
-        Link("link_issue_assignee", ("hub_issue", "hub_actor"), _same(_ISSUE, "repo_name", "issue_number", where=_ASSIGNED, actor_login="assignee_login"), driving_key="hub_issue"),
-    ),
-    satellites=(
-        Satellite("sat_actor_profile", "hub_actor", ("display_login", "avatar_url"), _same(EVENT_TYPES, "actor_login", display_login="actor_display_login", avatar_url="actor_avatar_url")),
-        Satellite(
-            "sat_repo_profile", "hub_repo", ("owner_login", "language", "default_branch", "license", "repo_created_at"),
-            _same(_PR, "repo_name", owner_login="base_repo_owner", language="base_repo_language", default_branch="base_repo_default_branch", license="base_repo_license", repo_created_at="base_repo_created_at")
-            + _same(["ForkEvent"], repo_name="forkee_full_name", owner_login="forkee_owner", language="forkee_language", default_branch="forkee_default_branch", license="forkee_license", repo_created_at="forkee_created_at"),
-        ),
-        Satellite("sat_repo_stats", "hub_repo", ("stargazers_count", "forks_count", "open_issues_count", "watchers_count"),
-            _same(_PR, "repo_name", stargazers_count="base_repo_stargazers", forks_count="base_repo_forks", open_issues_count="base_repo_open_issues", watchers_count="base_repo_watchers")),
-        Satellite("sat_pull_request_details", "hub_pull_request", ("action", "pr_title", "pr_state", "pr_merged", "base_ref", "head_ref"),
-            _same(_PR, "repo_name", "pr_number", "action", "pr_title", "pr_state", "pr_merged", "base_ref", "head_ref")),
-        Satellite("sat_issue_details", "hub_issue", ("action", "issue_title", "issue_state", "issue_comments"), _same(_ISSUE, "repo_name", "issue_number", "action", "issue_title", "issue_state", "issue_comments")),
-        Satellite("sat_actor_repo_event", "link_actor_repo", tuple(EVENT_ATTRIBUTES), tuple(Extract(t, {"actor_login": "actor_login", "repo_name": "repo_name", **_STATES.get(t, {"action": "action"})}) for t in EVENT_TYPES), "multi_active", "event_id"),
-        Satellite("eff_sat_issue_assignee", "link_issue_assignee", (), _same(_ISSUE, "repo_name", "issue_number", "action", where=_ASSIGNED, actor_login="assignee_login"), "effectivity"),
-    ),
-    pits={"pit_repo_day": ("hub_repo", ("sat_repo_profile", "sat_repo_stats")), "pit_actor_day": ("hub_actor", ("sat_actor_profile",)), "pit_pull_request_day": ("hub_pull_request", ("sat_pull_request_details",))},
-    marts=(
-        Mart("repo_activity_mart", ("repo_name", "activity_date", "event_type"), "pit_repo_day"),
-        Mart("developer_360_mart", ("actor_login", "activity_date"), "pit_actor_day"),
-        Mart("collaboration_mart", ("item_type", "repo_name", "item_number"), "pit_pull_request_day"),
-    ),
-)
+GITHUB = load_vault()
