@@ -5,11 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.session import delete, shared_dir
+
 #: The characters that separate words: blank, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -19,24 +22,18 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below `spark.checkpoint.dir`, which all executors and the driver see.
-
-    A temporary folder of this machine is taken only where the setting is unset, as in tests.
-    """
-    conf = spark.sparkContext.getConf()
-    base = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 _shipped: set[str] = set()
+#: Bytes of a batch of rows for a Python worker, unless the session names its own; Spark's default is 64 MB.
+BATCH_BYTES, BATCH_SETTING = 4 * 1024 * 1024, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once per application, so that their Python workers can import it wherever they start."""
+    """Sends this package to the executors, once per application, so that their Python workers can import it wherever they start.
+
+    Also bounds the bytes of a batch, which the JVM and the worker hold in several copies.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         root = Path(__file__).resolve().parents[1]
@@ -48,13 +45,67 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(app)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """`df`, computed once, written to the shared folder and read again: a cut of its lineage that outlives executors."""
+def written(df: DataFrame, name: str, scratch: list[str] | None = None) -> DataFrame:
+    """`df`, computed once, written to the shared folder and read again: a cut of its lineage that outlives executors.
+
+    The folder is added to `scratch`, for those that are done with it before the application ends.
+    """
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
+    if scratch is not None:
+        scratch.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, scratch: list[str]) -> None:
+    """Deletes the folders, which no frame may read any more, and empties the list."""
+    while scratch:
+        delete(spark, scratch.pop())
+
+
+def quoted(name: str) -> str:
+    """A column's name as it is written in expressions, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def packed(df: DataFrame, columns: Iterable[str] | None = None) -> Column:
+    """All columns (or these) as one struct, so that no other name can clash with theirs; select("row.*") takes them out again."""
+    return F.struct(*[F.col(quoted(c)) for c in (df.columns if columns is None else columns)]).alias("row")
+
+
+def replaced(df: DataFrame, path: list[str]) -> DataFrame:
+    """`df` written as by `written`; the folder in `path`, of the table that it takes the place of, is deleted after that."""
+    new = shared_dir(df.sparkSession, "round")
+    df.write.parquet(new)
+    if path:
+        delete(df.sparkSession, path.pop())
+    path.append(new)
+    return df.sparkSession.read.schema(df.schema).parquet(new)
+
+
+def fresh(taken: Iterable[str], *names: str) -> list[str]:
+    """`names`, each with as many underscores in front as it takes to differ from all of `taken`, whatever their case."""
+    used = {t.lower() for t in taken}
+    out = []
+    for n in names:
+        while n.lower() in used:
+            n = "_" + n
+        used.add(n.lower())
+        out.append(n)
+    return out
+
+
+def first_by_hash(ids: DataFrame, column: str, most: int) -> DataFrame:
+    """At most `most` rows of `ids`, whose values in `column` are distinct: those first by a hash of it.
+
+    Hashes above a limit that keeps about four times as many are left where they are, so the task that sorts gets no more
+    however large the table is.
+    """
+    spread = F.pmod(F.xxhash64(column), F.lit(1 << 31))
+    limit = min(1 << 31, (4 * most << 31) // max(1, ids.count()))
+    return ids.where(spread <= limit).orderBy(spread, column).limit(most)
+
+
 def words(text: Column) -> Column:
     """The runs of characters other than the six blanks, in order; null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
