@@ -10,9 +10,8 @@ from tessera.llm.common import load, written
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    mixed = mixing.mix(docs)
-    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+    rows = written(mixing.sized(load(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("row"), "sized")
+    return mixing.drawn(rows).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,4 +59,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(load(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_packing, op3_quality_rules, op4_ngram_join, op5_toxicity, op6_sharding, op7_transport_streams, op8_prefix_targets, op9_warc_salvage, op10_token_files)}
+QUERIES = {
+    f.__name__: f for f in (op1_mixing, op2_packing, op3_quality_rules, op4_ngram_join, op5_toxicity, op6_sharding, op7_transport_streams, op8_prefix_targets, op9_warc_salvage, op10_token_files)
+}
