@@ -115,17 +115,21 @@ class Stream:
 
 
 def _sections(raw: bytes, fault: list[str], name: str) -> bytes | None:
-    at = 1 + raw[0]
-    size = 3 + (struct.unpack_from(">H", raw, at + 1)[0] & 0x0FFF)
+    """The body of the section that a table's packet begins, or a fault."""
+    at = 1 + raw[0] if raw else 0
+    size = 3 + (struct.unpack_from(">H", raw, at + 1)[0] & 0x0FFF) if len(raw) >= at + 3 else 0
     section = raw[at : at + size]
-    if len(section) < size or section_crc(section):
+    if size < 12 or len(section) < size or section_crc(section):
         fault.append(f"bad {name}")
         return None
     return section[8:-4]
 
 
 def demux(media: bytes) -> Stream:
-    """Reads a stream; damage is reported in `faults`, `lost` and `repeated`, never raised. Bytes after the last whole packet are a fault."""
+    """Reads a stream; damage is reported in `faults`, `lost` and `repeated`, never raised. Bytes after the last whole packet are a fault.
+
+    A jump of the counter at a packet that is marked as a discontinuity is not a loss.
+    """
     out = Stream(packets=len(media) // PACKET)
     if len(media) % PACKET:
         out.faults.append("cut packet")
@@ -149,6 +153,9 @@ def demux(media: bytes) -> Stream:
     pmt_pid = next((p & 0x1FFF for n, p in programs if n), None)
     if pmt_pid is None or (pmt := table(pmt_pid, "PMT")) is None:
         return out
+    if len(pmt) < 4:
+        out.faults.append("bad PMT")
+        return out
     at, es = 4 + (struct.unpack_from(">H", pmt, 2)[0] & 0x0FFF), None
     while at + 5 <= len(pmt) and es is None:
         kind, p, size = struct.unpack_from(">BHH", pmt, at)
@@ -163,7 +170,8 @@ def demux(media: bytes) -> Stream:
         step = (counter[1:] - counter[:-1]) & 15
         again = np.concatenate([[False], (step == 0) & (grid[own[1:]] == grid[own[:-1]]).all(axis=1)])
         out.repeated = int(again.sum())
-        out.lost = int(((step - 1) & 15)[~again[1:]].sum())
+        marked = (grid[own[1:], 3] & 0x20 > 0) & (grid[own[1:], 4] > 0) & (grid[own[1:], 5] & 0x80 > 0)
+        out.lost = int(((step - 1) & 15)[~again[1:] & ~marked].sum())
         own = own[~again]
     parts: list[bytes] = []
     first = np.flatnonzero(starts[own])
@@ -189,6 +197,9 @@ def demux(media: bytes) -> Stream:
             continue
         size, has, head = struct.unpack_from(">H", raw, 4)[0], raw[7] >> 7, 9 + raw[8]
         p = raw[9:14]
+        if has and len(p) < 5:
+            out.faults.append("short PES head")
+            has = 0
         out.timestamps.append(((p[0] >> 1) & 7) << 30 | p[1] << 22 | (p[2] >> 1) << 15 | p[3] << 7 | p[4] >> 1 if has else None)
         body = raw[head : 6 + size] if size else raw[head:]
         if size and len(raw) < 6 + size:
@@ -218,7 +229,9 @@ FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string
 def store(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes (UTF-8 of the text; null: 0), media (transport stream of the padded bytes), its timestamps and random-access packets.
 
-    One row per row of docs; the table is written to the shared folder, compressed. Other columns are left out.
+    One row per row of docs, repeated rows and null doc_ids too; null and empty texts are one block of zeros, a text of any
+    length is one stream. An empty table has no rows; other columns are left out. The table is written to the shared folder,
+    compressed.
     """
     ship(docs.sparkSession)
 
@@ -232,7 +245,13 @@ def store(docs: DataFrame) -> DataFrame:
                 media = [mux(padded(r)) for r in raws]
                 seen = [demux(m) for m in media]
                 kinds = pa.list_(pa.int64())
-                cols = [part.column(0), pa.array([len(r) for r in raws], pa.int64()), pa.array(media, pa.binary()), pa.array([s.timestamps for s in seen], kinds), pa.array([s.random_access for s in seen], kinds)]
+                cols = [
+                    part.column(0),
+                    pa.array([len(r) for r in raws], pa.int64()),
+                    pa.array(media, pa.binary()),
+                    pa.array([s.timestamps for s in seen], kinds),
+                    pa.array([s.random_access for s in seen], kinds),
+                ]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_bytes", "media", "timestamps", "random_access"])
 
     path = shared_dir(docs.sparkSession, "media")
@@ -242,7 +261,10 @@ def store(docs: DataFrame) -> DataFrame:
 
 
 def features(stored: DataFrame) -> DataFrame:
-    """Reads the media column back and describes it: digests of the payload and of the stored bytes, and `feature`."""
+    """Reads the media column back and describes it: digests of the payload and of the stored bytes, and `feature`.
+
+    One row per stored row; equal streams have equal values, damaged ones their faults counted.
+    """
     ship(stored.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
