@@ -2,12 +2,12 @@
 
 Texts are cut into pieces of at most `capacity` ids. Only the histogram of piece lengths, at most `capacity` counts,
 reaches the driver. There the configuration program (as few bins as cover all counts, one variable per way to fill a bin)
-is solved by multiplicative weights: the price of a length falls as it is covered, and a knapsack dynamic program over
-the capacity finds the fillings worth most at these prices. Where there are few lengths, the program is solved to its end
-with the same pricing. A fractional solution is rounded down, then up by largest fraction, and what is left is filled
-best-fit, largest length first, whole groups of equal bins at a time. Of the plans so made, and one that only takes full
-fillings, the one with the fewest bins is kept. Plans have a bounded number of rows; the
-pieces then take their places by their rank among those of their length, without meeting in one task.
+is solved by multiplicative weights: the price of a length falls as it is covered, a knapsack dynamic program over the
+capacity finds the filling worth most at these prices, and the filling is taken until its scarcest length is covered.
+Every length ends up covered once; with few lengths the program is solved to its end with the same pricing.
+The fractional solution is rounded down, then up by largest fraction, and what is left is solved and rounded again; the
+little that no rounding takes is filled best-fit, largest length first. Plans have a bounded number of rows; the pieces
+then take their places by their rank among those of their length, without meeting in one task.
 """
 
 from __future__ import annotations
@@ -23,10 +23,11 @@ from tessera.llm.tokens import default_path, encoder
 
 CAPACITY = 2048
 END_ID = 0
-#: Rounds of the multiplicative weights, fillings priced in each, share of a filling's room that a step takes, learning rate.
-ROUNDS, PER_ROUND, STEP, RATE = 240, 6, 0.25, 3.0
-#: Part of a bin that a filling of the plan with only full fillings may waste.
-WASTE = 0.002
+#: Lengths that are priced at once (the least covered, and the shortest for the gaps); fillings from one pricing, none
+#: emptier than the best; learning rate.
+PRICED, PER_ROUND, RATE = 1200, 100, 0.3
+#: How often what rounding leaves is solved anew, at most.
+SOLVES = 12
 #: Lengths up to which the program is solved to its end, and pivots at most.
 FEW, PIVOTS = 64, 1000
 
@@ -64,60 +65,71 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, k
     return out if keep_ids else out.drop("ids")
 
 
-def price(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> np.ndarray:
-    """choice[c]: the position of the item that the most valuable filling of room c takes next, or -1."""
-    value, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1, np.int64)
-    fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for c in range(1, capacity + 1):
-        value[c], choice[c] = value[c - 1], -2  # leaves one place empty
-        if n := fits[c]:
-            worth = value[c - lengths[:n]] + prices[:n]
-            k = int(worth.argmax())
-            if worth[k] > value[c]:
-                value[c], choice[c] = worth[k], k
-    return choice
-
-
-def filling(choice: np.ndarray, lengths: np.ndarray, counts: np.ndarray, capacity: int, first: int | None = None) -> dict[int, int]:
-    """Item position -> copies; no more copies than there are pieces."""
-    items: dict[int, int] = {}
-    room = capacity
-    if first is not None:
-        items[first] = 1
-        room -= int(lengths[first])
-    while room > 0:
-        k = int(choice[room])
-        if k < 0:
-            room -= 1
-            continue
-        if items.get(k, 0) >= counts[k]:  # the program knows no counts: go on with less room
-            room -= 1
-            continue
-        items[k] = items.get(k, 0) + 1
-        room -= int(lengths[k])
-    return items
+class Knapsack:
+    """The most valuable fillings of every room up to `capacity` from `copies` of each length, by dynamic programming."""
+
+    def __init__(self, lengths: np.ndarray, copies: np.ndarray, prices: np.ndarray, capacity: int):
+        self.lengths, self.copies, self.capacity = lengths, copies, capacity
+        self.parts: list[tuple[int, int]] = []  # (position, copies): copies in powers of two, so that any number can be made up
+        for k, most in enumerate(np.minimum(copies, capacity // lengths).tolist()):
+            n = 1
+            while most > 0:
+                self.parts.append((k, min(n, most)))
+                most -= min(n, most)
+                n *= 2
+        value, taken = np.zeros(capacity + 1), np.zeros((len(self.parts), capacity + 1), bool)
+        for i, (k, n) in enumerate(self.parts):
+            size = int(lengths[k]) * n
+            new = value[: capacity + 1 - size] + prices[k] * n
+            better = new > value[size:]
+            taken[i, size:] = better
+            value[size:] = np.where(better, new, value[size:])
+        self.taken = np.ascontiguousarray(taken.T)
+
+    def filling(self, first: int | None = None) -> tuple[dict[int, int], int] | None:
+        """(position -> copies, places left empty), around one of `first` if given; None if that would take a copy too many."""
+        items: dict[int, int] = {}
+        room, i = self.capacity, len(self.parts)
+        if first is not None:
+            items[first] = 1
+            room -= int(self.lengths[first])
+        while room > 0 and len(hit := np.flatnonzero(self.taken[room, :i])):
+            i = int(hit[-1])
+            k, n = self.parts[i]
+            items[k] = items.get(k, 0) + n
+            room -= int(self.lengths[k]) * n
+        if first is not None and items[first] > self.copies[first]:
+            return None
+        return items, room
 
 
 def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[dict[int, int], float]]:
-    """Fillings with fractional multiplicities that cover the counts about evenly, by multiplicative weights."""
-    covered = np.zeros(len(lengths))
+    """Fillings with fractional multiplicities that cover every count exactly once, by multiplicative weights."""
+    left = counts.astype(np.float64)
     found: dict[tuple, float] = {}
-    for _ in range(ROUNDS):
-        prices = lengths * np.exp(-RATE * covered / counts)
-        choice = price(lengths, prices, capacity)
-        urgent = np.argsort(covered / counts, kind="stable")[: PER_ROUND - 1]
+    while len(on := np.flatnonzero(left > 0)):
+        covered = 1 - left[on] / counts[on]
+        if len(on) > PRICED:
+            few = np.union1d(np.lexsort((-lengths[on], covered))[: PRICED * 3 // 4], np.arange(PRICED // 4))
+            on, covered = on[few], covered[few]
+        copies = np.maximum(1, np.floor(left[on] + 1e-9)).astype(np.int64)
+        knapsack = Knapsack(lengths[on], copies, lengths[on] * np.exp(-RATE * covered), capacity)
+        urgent = np.lexsort((-lengths[on], covered))[: PER_ROUND - 1]
+        least = None
         for first in [None, *map(int, urgent)]:
-            items = filling(choice, lengths, counts, capacity, first)
-            if not items:
+            if (made := knapsack.filling(first)) is None:
+                continue
+            items, room = made
+            at, a = on[np.fromiter(items, np.int64)], np.fromiter(items.values(), np.float64)
+            least = room if least is None else least
+            if room > least or not left[at].all():  # too empty, or it needs what this round has covered
                 continue
-            at = np.fromiter(items, np.int64)
-            a = np.fromiter(items.values(), np.float64)
-            step = STEP * float((counts[at] / a).min())
-            covered[at] += step * a
-            key = tuple(sorted(items.items()))
+            step = float((left[at] / a).min())
+            left[at] -= step * a
+            left[at[left[at] < 1e-9 * counts[at]]] = 0
+            key = tuple(sorted(zip(at.tolist(), items.values(), strict=True)))
             found[key] = found.get(key, 0.0) + step
-    scale = 1.0 / max(1e-9, float(np.quantile(covered / counts, 0.5))) if len(lengths) else 1.0
-    return [(dict(k), x * min(1.0, scale) if scale < 1 else x) for k, x in found.items()]
+    return [(dict(k), x) for k, x in found.items()]
 
 
 def exact(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[dict[int, int], float]]:
@@ -125,7 +137,7 @@ def exact(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[
     basis = np.diag((capacity // lengths).astype(np.float64))
     for _ in range(PIVOTS):
         prices = np.linalg.solve(basis.T, np.ones(len(lengths)))
-        items = filling(price(lengths, prices, capacity), lengths, counts, capacity)
+        items, _ = Knapsack(lengths, counts, prices, capacity).filling()
         new = np.zeros(len(lengths))
         new[list(items)] = list(items.values())
         if prices @ new <= 1 + 1e-9:
@@ -137,29 +149,43 @@ def exact(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[
     return [({int(k): int(round(column[k])) for k in np.flatnonzero(column > 0.5)}, max(0.0, float(n))) for column, n in zip(basis.T, x, strict=True)]
 
 
-def rounded(plan: list[tuple[dict[int, int], float]], lengths: np.ndarray, counts: np.ndarray, capacity: int, up: bool) -> list[tuple[dict[int, int], int]]:
-    """The fillings of the plan a whole number of times, `up` by largest fraction too, then best fit, largest first."""
+Plan = list[tuple[dict[int, int], int]]
+
+
+def rounded(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[Plan, Plan]:
+    """(fillings from rounding the program, fillings of the rest by best fit), each length -> copies, and how many bins.
+
+    What rounding down leaves is rounded up by largest fraction where the pieces suffice and the filling is not much emptier
+    than the solution's average; what that leaves is solved again.
+    """
     left = counts.copy()
-    out: list[tuple[dict[int, int], int]] = []
+    made: Plan = []
 
-    def take(items: dict[int, int], times: int) -> None:
+    def take(items: dict[int, int], times: int, into: Plan) -> None:
         times = min([times, *(int(left[k]) // n for k, n in items.items())])
         if times > 0:
             for k, n in items.items():
                 left[k] -= n * times
-            out.append(({int(lengths[k]): n for k, n in items.items()}, times))
-
-    for items, x in plan:
-        take(items, int(x + 1e-6))
-    if up:
-        for items, x in sorted(plan, key=lambda p: -((p[1] + 1e-6) % 1)):
-            take(items, 1)
-    while True:  # the rest: best fit, largest first, in groups of equal bins
-        there = np.flatnonzero(left)
-        if not len(there):
-            return out
-        items, room = {}, capacity
-        pool = left.copy()
+            into.append(({int(lengths[k]): n for k, n in items.items()}, times))
+
+    for _ in range(SOLVES):
+        on, before = np.flatnonzero(left), int((lengths * left).sum())
+        if not before:
+            break
+        solution = exact(lengths[on], left[on], capacity) if len(on) <= FEW else fractional(lengths[on], left[on], capacity)
+        plan = [({int(on[k]): n for k, n in items.items()}, x) for items, x in solution if x > 0]
+        waste = lambda items: capacity - sum(int(lengths[k]) * n for k, n in items.items())
+        allowed = 1 + 2 * sum(waste(items) * x for items, x in plan) / sum(x for _, x in plan)
+        for items, x in sorted(plan, key=lambda p: (-p[1], waste(p[0]), sorted(p[0].items()))):
+            take(items, int(x + 1e-6), made)
+        for items, x in sorted(plan, key=lambda p: (-((p[1] + 1e-6) % 1), waste(p[0]), sorted(p[0].items()))):
+            if waste(items) <= allowed:
+                take(items, 1, made)
+        if int((lengths * left).sum()) > 0.9 * before:
+            break
+    rest: Plan = []
+    while len(there := np.flatnonzero(left)):  # best fit, largest first, in groups of equal bins
+        items, room, pool = {}, capacity, left.copy()
         while True:
             fit = there[(pool[there] > 0) & (lengths[there] <= room)]
             if not len(fit):
@@ -169,27 +195,19 @@ def rounded(plan: list[tuple[dict[int, int], float]], lengths: np.ndarray, count
             items[k] = items.get(k, 0) + n
             pool[k] -= n
             room -= n * int(lengths[k])
-        take(items, max(1, min(int(left[k]) // n for k, n in items.items())))
+        take(items, max(1, min(int(left[k]) // n for k, n in items.items())), rest)
+    return made, rest
 
 
-def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
+def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
     """Fillings (length -> copies) and how many bins are filled so; together they hold each length exactly as often as it occurs."""
     lengths = np.array(sorted(k for k, n in histogram.items() if n > 0), np.int64)
-    if not len(lengths):
-        return []
     counts = np.array([histogram[int(k)] for k in lengths], np.int64)
-    used = lambda items: sum(int(lengths[k]) * n for k, n in items.items())
-    plan = fractional(lengths, counts.astype(np.float64), capacity)
-    by_use = sorted(plan, key=lambda p: (-used(p[0]), -p[1], sorted(p[0].items())))
-    by_value = sorted(plan, key=lambda p: (-p[1], -used(p[0]), sorted(p[0].items())))
-    made = [rounded([p for p in by_use if used(p[0]) >= capacity * (1 - WASTE)], lengths, counts, capacity, up=False)]
-    made.append(rounded(by_value, lengths, counts, capacity, up=True))
-    if len(lengths) <= FEW:
-        made.append(rounded(exact(lengths, counts, capacity), lengths, counts, capacity, up=True))
-    return min(made, key=lambda p: sum(times for _, times in p))
-
-
-def runs(plan: list[tuple[dict[int, int], int]]) -> dict[int, list[np.ndarray]]:
+    made, rest = rounded(lengths, counts, capacity)
+    return made + rest
+
+
+def runs(plan: Plan) -> dict[int, list[np.ndarray]]:
     """length -> [first rank, first sequence, copies a sequence, offset of the first copy], each sorted by rank."""
     rank: dict[int, int] = {}
     rows: dict[int, list[tuple[int, int, int, int]]] = {}
@@ -205,16 +223,22 @@ def runs(plan: list[tuple[dict[int, int], int]]) -> dict[int, list[np.ndarray]]:
 
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
-    """The pieces of `docs` with sequence_id and offset. An empty table has none; null texts are one piece of one id.
+    """The pieces of `docs` with sequence_id and offset.
 
-    Pieces are computed once and written to the shared folder.
+    An empty table has none; null and empty texts are one piece of one id; a longer text is cut into as many pieces as it
+    takes. Repeated rows and null doc_ids are packed as often as they occur. Other columns of `docs` are left out. Pieces are
+    computed once and written to the shared folder.
     """
     cut = written(pieces(docs, path, capacity, keep_ids), "pieces")
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return placed(cut, solve(histogram, capacity))
+    histogram.pop(capacity, None)  # a full piece is a sequence
+    full = cut.where(F.col("length") == capacity)
+    alone = full.withColumns({"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+    return placed(cut.where(F.col("length") < capacity), solve(histogram, capacity)).unionByName(alone)
 
 
-def placed(cut: DataFrame, plan: list[tuple[dict[int, int], int]]) -> DataFrame:
+def placed(cut: DataFrame, plan: Plan) -> DataFrame:
+    """The pieces with the places that the plan has for their lengths. Sequences are numbered from 0."""
     by_length = runs(plan)
 
     def seat(batches: Iterator) -> Iterator:
