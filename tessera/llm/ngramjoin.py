@@ -1,16 +1,19 @@
 """Near-duplicate documents by an exact Jaccard join over word n-grams.
 
 Documents with equal sets are one class. Each class lists its n-grams rarest first; classes can only be similar if their
-prefixes, the first tenth at a threshold of 0.9 (a fifth at 0.8), share an n-gram, and the lengths, the positions of that n-gram and the
-make-up of the rest (suffix filter) leave room for enough common ones. What passes is verified once per pair on whole sets.
+prefixes, the first tenth at a threshold of 0.9 (a fifth at 0.8), share an n-gram, and if the lengths, the positions of that
+n-gram and the make-up of the rest (suffix filter) leave room for enough common ones. The suffix filter compares a parity
+bit for each of `BITS` parts of the n-gram space: two sets differ in at least as many n-grams as there are parts of unequal
+parity. All filters are applied where classes meet, before a pair is made; what passes is verified once per pair on whole
+sets.
 
 No group of an n-gram is paired with itself. A first round links each class with one pivot, the smallest class that the
 filters let it meet. The links are closed to components, and the second round only pairs classes of an n-gram that are
-in different components. So a family of copies costs links in proportion to its size, and no link between components
-can be missed.
+in different components and were not verified before. So a family of copies costs links in proportion to its size, and no
+link between components can be missed.
 
 Frequencies come from a table of counters of fixed size over all documents. Any order is correct; the counters make it
-rare-first.
+rare-first. "Exact" holds up to equal 64-bit hashes of different n-grams, and equal pairs of such sums over sets.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.byteshash import mixed, slices
-from tessera.llm.common import ship, written
+from tessera.llm.common import discard, fresh, ship, written
 from tessera.llm.components import components
 
 #: Words of an n-gram, and the part of the union from which sets are similar, of `op4_ngram_join`; callers may give their own.
@@ -30,8 +33,9 @@ N = 3
 PERCENT = 90
 #: Counters of n-grams: 2 to this power, in chunks of 2 to the second.
 COUNTERS, CHUNK = 22, 16
-#: Parts of the n-gram space whose counts the suffix filter compares.
-PARTS = 64
+#: Parts of the n-gram space whose parities the suffix filter compares, and the columns of 64 that hold them.
+BITS = 256
+PARITY = [f"q{i}" for i in range(BITS // 64)]
 #: Classes whose ids (8 bytes each) may be broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -121,7 +125,7 @@ def _chunks(pa, tables: dict[int, np.ndarray]) -> Iterator:
 
 
 def profiles(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT, words: int = N) -> DataFrame:
-    """doc_id, n, s1, s2 (sums over the set that tell sets apart), parts (counts by part), prefix (rarest n-grams first)."""
+    """doc_id, n, s1, s2 (sums over the set that tell sets apart), parities by part, prefix (rarest n-grams first)."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)  # 4 MB, whatever the corpus
 
     def run(batches: Iterator) -> Iterator:
@@ -134,18 +138,19 @@ def profiles(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT, words:
                 ends = np.cumsum(n)
                 sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x)]) for x in (gram, mixed(gram ^ _ODD[0]))]
                 s1, s2 = (mixed(x[ends] - x[ends - n]).view(np.int64) for x in sums)
-                parts = np.bincount(doc * PARTS + (gram & np.uint64(PARTS - 1)).astype(np.int64), minlength=rows * PARTS).astype(np.int32)
+                odd = (np.bincount(doc * BITS + (gram & np.uint64(BITS - 1)).astype(np.int64), minlength=rows * BITS) & 1).astype(bool)
+                parity = np.packbits(odd.reshape(rows, BITS), axis=1, bitorder="little").view("<i8")
                 order = np.lexsort((gram, level[_counter(gram)], doc))
                 take = np.where(n > 0, n - -(-n * percent // 100) + 1, 0)
                 place = np.arange(len(gram)) - np.repeat(ends - n, n)
                 prefix = gram[order][place < np.repeat(take, n)].view(np.int64)
                 lists = lambda values, size: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(values))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, rows), pa.array(n, pa.int64()), pa.array(s1), pa.array(s2), lists(parts, np.full(rows, PARTS)), lists(prefix, take)],
-                    names=["doc_id", "n", "s1", "s2", "parts", "prefix"],
+                    [b.column(0).slice(at, rows), pa.array(n, pa.int64()), pa.array(s1), pa.array(s2), *[pa.array(np.ascontiguousarray(q)) for q in parity.T], lists(prefix, take)],
+                    names=["doc_id", "n", "s1", "s2", *PARITY, "prefix"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, s1 long, s2 long, parts array<int>, prefix array<long>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, n long, s1 long, s2 long, {', '.join(f'{q} long' for q in PARITY)}, prefix array<long>")
 
 
 def needed(na: Column, nb: Column, percent: int) -> Column:
@@ -154,18 +159,20 @@ def needed(na: Column, nb: Column, percent: int) -> Column:
 
 
 def _possible(percent: int, a: str, b: str) -> Column:
-    """Length and positional filter; for the first common n-gram of a similar pair it always holds."""
+    """Length, positional and suffix filter; for the first common n-gram of a similar pair they always hold."""
     na, nb, pa_, pb = F.col(f"{a}n"), F.col(f"{b}n"), F.col(f"{a}pos"), F.col(f"{b}pos")
-    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (F.least(na - pa_, nb - pb) >= needed(na, nb, percent))
+    least = needed(na, nb, percent)
+    unequal = sum((F.bit_count(F.col(f"{a}{q}").bitwiseXOR(F.col(f"{b}{q}"))) for q in PARITY), F.lit(0))
+    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (F.least(na - pa_, nb - pb) >= least) & (unequal <= na + nb - 2 * least)
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, n: int = N) -> DataFrame:
-    """The pairs (a, b) of classes that are similar: suffix filter on the counts by part, then the whole sets."""
-    c = classes.select("node", "n", "parts")
-    both = pairs.join(c.toDF("a", "an", "ap"), "a").join(c.toDF("b", "bn", "bp"), "b")
-    common = F.aggregate(F.zip_with("ap", "bp", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    both = written(both.where(common >= needed(F.col("an"), F.col("bn"), percent)).select("a", "b"), "candidates")
-    nodes = written(both.select(F.col("a").alias("node")).union(both.select("b")).distinct(), "candidate-ids")
+def verified(pairs: DataFrame, docs: DataFrame, percent: int, n: int = N, scratch: list[str] | None = None) -> DataFrame:
+    """The pairs (a, b) of classes, written, that are similar by their whole sets.
+
+    Sets are made again from the texts of classes that are in a pair, once each. Pairs of one class that has very many are
+    dealt to tasks by Spark's skew join; its set goes to each of them.
+    """
+    nodes = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "candidate-ids", scratch)
     if nodes.count() <= BROADCAST_IDS:
         nodes = F.broadcast(nodes)
 
@@ -178,8 +185,8 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, rows), pa.array(own, pa.binary())], names=["node", "grams"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node")
-    grams = written(texts.mapInArrow(as_bytes, "node long, grams binary"), "candidate-sets")
-    both = both.join(grams.toDF("a", "ag"), "a").join(grams.toDF("b", "bg"), "b")
+    grams = written(texts.mapInArrow(as_bytes, "node long, grams binary"), "candidate-sets", scratch)
+    both = pairs.join(grams.toDF("a", "ag"), "a").join(grams.toDF("b", "bg"), "b")
 
     def check(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -197,42 +204,57 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int
     return both.select("a", "b", "ag", "bg").mapInArrow(check, "a long, b long").distinct()
 
 
-def join(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
+def join(docs: DataFrame, percent: int = PERCENT, n: int = N, scratch: list[str] | None = None) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, n_shingles, class_id, component_id.
 
     class_id is the smallest doc_id with the same set, component_id the smallest one reachable by links. Documents without
     words (null, empty, blank) are linked with nothing. Rows of one doc_id are one document to the links. Rows without a
-    doc_id take the ids of their class, null where all its rows lack one. Other columns are left out.
+    doc_id take the ids of their class, null where all its rows lack one. Whole texts of any length are compared; an empty
+    table has no rows; other columns are left out. Folders that the result reads are added to `scratch`, all others deleted.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     docs = docs.select("doc_id", "text")
-    own = written(profiles(docs, rarity(docs, n), percent, n), "profiles")
-    kinds = own.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("node"), F.first("parts").alias("parts"), F.first("prefix").alias("prefix"))
-    classes = written(kinds, "classes")
+    scratch, done = [] if scratch is None else scratch, []
+    own = written(profiles(docs, rarity(docs, n), percent, n), "profiles", scratch)
+    kinds = own.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n")
+    classes = written(kinds.agg(F.min("doc_id").alias("node"), *[F.first(q).alias(q) for q in PARITY], F.first("prefix").alias("prefix")), "classes", scratch)
     rows = classes.select("node", "n", F.posexplode("prefix").alias("pos", "gram"))
     groups = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("many"), F.min(F.struct("node", "n", "pos")).alias("pivot")).where("many > 1")
     groups = groups.select(F.col("gram").alias("g"), F.col("pivot.node").alias("p_node"), F.col("pivot.n").alias("p_n"), F.col("pivot.pos").alias("p_pos"))
-    rows = written(rows.join(groups, F.col("gram") == F.col("g")).drop("g"), "prefix-rows")  # n-grams of one class alone are gone
-
-    near = rows.select("node", "n", "pos", F.col("p_node").alias("_node"), F.col("p_n").alias("_n"), F.col("p_pos").alias("_pos")).where("node > _node").where(_possible(percent, "", "_"))
-    first = verified(near.groupBy(F.col("node").alias("b")).agg(F.min("_node").alias("a")), classes, docs, percent, n)
-    first = written(first, "links")
-    known = components(first).withColumnRenamed("node", "k")
-
-    rows = rows.select("gram", "node", "n", "pos", "p_node").join(known, F.col("node") == F.col("k"), "left").withColumn("of", F.coalesce("component", "node")).drop("k", "component")
+    rows = rows.join(groups, F.col("gram") == F.col("g")).drop("g")  # n-grams of one class alone are gone
+    parities = classes.select(F.col("node").alias("k"), *PARITY)
+    rows = written(rows.join(parities, F.col("node") == F.col("k")).drop("k"), "prefix-rows", done)
+
+    near = rows.where("node > p_node").join(parities.select(F.col("k"), *[F.col(q).alias(f"p_{q}") for q in PARITY]), F.col("p_node") == F.col("k")).where(_possible(percent, "", "p_"))
+    tried = written(near.groupBy(F.col("node").alias("b")).agg(F.min("p_node").alias("a")).select("a", "b"), "pairs", done)
+    once_used: list[str] = []
+    first = written(verified(tried, docs, percent, n, once_used), "links", done)
+    discard(spark, once_used)
+    known = components(first, done).withColumnRenamed("node", "k")
+
+    rows = rows.select("gram", "node", "n", "pos", "p_node", *PARITY).join(known, F.col("node") == F.col("k"), "left").withColumn("of", F.coalesce("component", "node")).drop("k", "component")
     mixed_ = rows.groupBy("gram").agg(F.min("of").alias("lo"), F.max("of").alias("hi"), F.max(F.when(F.col("node") == F.col("p_node"), F.col("of"))).alias("main")).where("lo <> hi")
-    rows = written(rows.join(mixed_.select(F.col("gram").alias("g"), "main"), F.col("gram") == F.col("g")).drop("g", "p_node"), "open-rows")
-    left = rows.where("of <> main").select("gram", *[F.col(c).alias(f"l_{c}") for c in ("node", "n", "pos", "of")])
-    right = rows.select("gram", *[F.col(c).alias(f"r_{c}") for c in ("node", "n", "pos", "of", "main")])
+    rows = written(rows.join(mixed_.select(F.col("gram").alias("g"), "main"), F.col("gram") == F.col("g")).drop("g", "p_node"), "open-rows", done)
+    side = lambda s: [F.col(c).alias(f"{s}_{c}") for c in ("node", "n", "pos", "of", *PARITY)]
+    left = rows.where("of <> main").select("gram", *side("l"))
+    right = rows.select("gram", "main", *side("r"))
     # two classes outside the pivot's component meet twice: the smaller one goes left
-    once = (F.col("r_of") == F.col("r_main")) | (F.col("l_node") < F.col("r_node"))
+    once = (F.col("r_of") == F.col("main")) | (F.col("l_node") < F.col("r_node"))
     met = left.join(right, (left["gram"] == right["gram"]) & (F.col("l_of") != F.col("r_of")) & once & _possible(percent, "l_", "r_"))
     met = met.select(F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b")).distinct()
-    second = verified(met, classes, docs, percent, n)
-    final = components(first.union(second)).withColumnRenamed("node", "k")
+    met = met.join(tried, ["a", "b"], "left_anti")  # verified in the first round, and found not to be similar
+    second = written(verified(written(met, "pairs", done), docs, percent, n, once_used), "links", done)
+    final = components(first.union(second), scratch)
+    discard(spark, [*done, *once_used])
+    final = final.withColumnRenamed("node", "k")
 
     named = classes.join(final, F.col("node") == F.col("k"), "left").select("s1", "s2", F.col("n").alias("cn"), F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component_id"))
-    out = own.select("doc_id", "n", "s1", "s2").join(named.withColumnsRenamed({"s1": "c1", "s2": "c2"}), (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & (F.col("n") == F.col("cn")), "left")
+    out = own.select("doc_id", "n", "s1", "s2").join(
+        named.withColumnsRenamed({"s1": "c1", "s2": "c2"}),
+        (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & (F.col("n") == F.col("cn")),
+        "left",
+    )
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
@@ -264,7 +286,12 @@ def brute_force(texts: dict[int, str | None], percent: int = PERCENT, n: int = N
 def first_of_each(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
     """The rows of docs, with all columns, whose doc_id is the smallest of its component; equal ones once.
 
-    Rows without doc_id cannot be told apart by it: if one of them has no class mate with an id, they all stay, once for each text.
+    Rows without doc_id cannot be told apart by it: if one of them has no class mate with an id, they all stay, once for each
+    text. Null, empty and blank texts are components of their own. An empty table has no rows. Names of other columns do not
+    matter.
     """
-    ids = join(docs, percent, n).where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(written(ids, "kept-ids"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id", "text"])
+    (key,) = fresh(docs.columns, "_id")
+    scratch: list[str] = []
+    ids = written(join(docs, percent, n, scratch).where("doc_id <=> component_id").select(F.col("doc_id").alias(key)).distinct(), "kept-ids")
+    discard(docs.sparkSession, scratch)
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col(key)), "left_semi").dropDuplicates(["doc_id", "text"])
