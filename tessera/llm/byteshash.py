@@ -18,7 +18,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 #: Bytes of text that are hashed together; a longer text is taken alone.
-SLICE = 2 * 1024 * 1024
+SLICE = 512 * 1024
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
