@@ -4,7 +4,14 @@ import random
 
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-SCHEMA = StructType([StructField("doc_id", LongType()), *[StructField(c, StringType()) for c in ("text", "lang", "source")], StructField("n_chars", LongType()), *[StructField(c, StringType()) for c in ("size", "score", "node", "n_words")]])
+SCHEMA = StructType(
+    [
+        StructField("doc_id", LongType()),
+        *[StructField(c, StringType()) for c in ("text", "lang", "source")],
+        StructField("n_chars", LongType()),
+        *[StructField(c, StringType()) for c in ("size", "score", "node", "n_words")],
+    ]
+)
 
 
 def prose(rng, n):
@@ -22,7 +29,14 @@ def odd_rows(seed=5):
         w = base.split(" ")
         w[rng.randrange(200)] = "changed"
         rows.append((120 + i, " ".join(w), "en", "s1", 1))
-    rows += [(200, None, None, None, None), (201, "", "en", "s2", 0), (202, " \t\n\x0b\x0c\r ", "en", "s2", 0), (203, "one", "en", "s2", 0), (204, "ONE two", "en", "s2", 0), (205, "one TWO", "en", "s2", 0)]
+    rows += [
+        (200, None, None, None, None),
+        (201, "", "en", "s2", 0),
+        (202, " \t\n\x0b\x0c\r ", "en", "s2", 0),
+        (203, "one", "en", "s2", 0),
+        (204, "ONE two", "en", "s2", 0),
+        (205, "one TWO", "en", "s2", 0),
+    ]
     rows += [(300, prose(rng, 30_000), "en", "s1", 1), (301, "x" * 50_000, "en", "s1", 1), (302, "ab " * 10_000, "en", "s1", 1)]
     rows += [rows[3], rows[3], (None, "no id here", "en", "s1", 1), (None, "no id here", "en", "s1", 1), (None, base, "en", "s1", 1), (3, "same id another text entirely", "en", "s2", 1)]
     rows += [(400, "\u2028日本語 text ﬁ Σας\x1cx\x85y\xa0z", "ja", "s9", 1), (401, "<|endoftext|> is text", "en", "s9", 1)]

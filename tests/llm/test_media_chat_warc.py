@@ -42,6 +42,40 @@ def test_damage_is_noticed():
     assert media.section_crc(b"123456789") == 0x0376E6E7
 
 
+def test_a_stream_by_its_fixed_bytes():
+    stored = media.mux(b"a" * 100)
+    # a program association table with program 1 at 0x1000, with its well-known checksum
+    assert stored[:21] == bytes.fromhex("474000100000b00d0001c100000001f0002ab104b2") and stored[21:188] == b"\xff" * 167
+    assert stored[188:192] == bytes.fromhex("47500010")
+    pes = stored[376:]
+    assert pes[:2] == bytes.fromhex("4741") and pes[3] == 0x30 and pes[5] & 0x50 == 0x50  # random access and clock reference
+    begin = 5 + pes[4]
+    assert pes[begin : begin + 14] == bytes.fromhex("000001bd006c848005") + bytes.fromhex("2100010001")
+    assert pes[begin + 14 :] == b"a" * 100 and len(stored) == 3 * 188
+
+
+def test_damage_never_raises():
+    rng = random.Random(1)
+    whole = media.mux(rng.randbytes(3000))
+    for i in range(4000):
+        bad = bytearray(whole if i % 2 else whole[: 188 * rng.randint(1, 5)])
+        for _ in range(rng.randint(1, 4)):
+            bad[rng.randrange(len(bad))] = rng.randrange(256)
+        for at in (4, 5, 192, 193)[: rng.randint(0, 4)]:  # pointer fields and table lengths
+            bad[at % len(bad)] = rng.randrange(256)
+        media.demux(bytes(bad))
+        media.demux(rng.randbytes(rng.randrange(600)))
+
+
+def test_marked_discontinuities_are_no_loss():
+    whole = media.mux(bytes(100_000))
+    first = [k for k in range(len(whole) // 188) if whole[188 * k + 1] & 0x40 and whole[188 * k + 3] & 0x20][1]  # of the second elementary packet
+    cut = bytearray(whole[: 188 * (first - 3)] + whole[188 * first :])
+    assert media.demux(bytes(cut)).lost == 3
+    cut[188 * (first - 3) + 5] |= 0x80
+    assert media.demux(bytes(cut)).lost == 0
+
+
 def test_media_table(spark):
     rows = media.features(media.store(odd(spark))).collect()
     want = Counter()
@@ -165,9 +199,49 @@ def test_salvage_checks_sha1(encoded):
     assert [type(x) for x in warc.salvage(raw.replace(b"body", b"bady"))] == [warc.Gap]
 
 
+def test_salvage_checks_payload_digests_and_keeps_nested_records_in_their_gap():
+    inner = warc.record(99, "u", b"nested", hashlib.sha256(b"nested").hexdigest(), None, False)
+    raws, _ = archive(3)
+    outer = warc.record(1, "u", payload := b"x" + inner + b"y", hashlib.sha256(payload).hexdigest(), None, False)
+    ids = lambda raw: [warc.described(x)[0] for x in warc.salvage(raw) if isinstance(x, warc.Record)]
+    assert ids(raws[0] + outer + raws[2]) == [0, 1, 2]
+    damaged = outer.replace(b"nested", b"nestet")  # the inner one is damaged, too
+    assert ids(raws[0] + damaged + raws[2]) == [0, 2]
+    damaged = outer[:-5] + b"z" + outer[-4:]
+    found = list(warc.salvage(raws[0] + damaged + raws[2]))
+    assert [type(x) for x in found] == [warc.Record, warc.Gap, warc.Record] and found[1].stop - found[1].start == len(outer)
+    assert ids(warc.member(raws[0] + damaged + raws[2])) == [0, 2]
+    head = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Payload-Digest: sha1:%s\r\nContent-Length: 23\r\n\r\nHTTP/1.1 200 OK\r\n\r\nbody\r\n\r\n"
+    assert [type(x) for x in warc.salvage(head % base64.b32encode(hashlib.sha1(b"body").digest()))] == [warc.Record]
+    assert [type(x) for x in warc.salvage(head % base64.b32encode(hashlib.sha1(b"bodies").digest()))] == [warc.Gap]
+
+
+def test_very_long_texts(spark):
+    long = "é</turn> ### " * 100_000
+    segs = chat.segments(spark.createDataFrame([(1, 0, "user", long), (1, 1, "assistant", long)], "conv_id long, turn long, role string, text string"))
+    r = chat.digests(segs).first()
+    assert (r["loss_chars"], r["loss_sha256"]) == (len(long), hashlib.sha256(long.encode()).hexdigest())
+    pages = spark.createDataFrame([(1, "u", long), (2, "u", long)], "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in warc.round_trip(pages).collect()}
+    assert got[1]["payload_digest"] == got[2]["payload_digest"] == hashlib.sha256(long.encode()).hexdigest() and got[2]["refers_to"] == 1
+
+
 def test_archives_round_trip(spark, tmp_path):
     big = "x" * 150
-    pages = [(1, "http://a", big), (2, "http://b", big), (3, None, big), (4, "u", "small"), (5, "u", "small"), (6, "u", None), (7, "u", ""), (2, "http://b", big), (None, "n", big), (None, "n", "y" * 120), (1, "http://a", big), (9, "l", "é" * 100_000)]
+    pages = [
+        (1, "http://a", big),
+        (2, "http://b", big),
+        (3, None, big),
+        (4, "u", "small"),
+        (5, "u", "small"),
+        (6, "u", None),
+        (7, "u", ""),
+        (2, "http://b", big),
+        (None, "n", big),
+        (None, "n", "y" * 120),
+        (1, "http://a", big),
+        (9, "l", "é" * 100_000),
+    ]
     df = spark.createDataFrame([(*p, "k") for p in pages], "page_id long, url string, html string, digest string").repartition(3)
     manifest = warc.write(df, f"file://{tmp_path}/w")
     got = Counter(tuple(r)[:5] for r in warc.read(manifest).collect())

@@ -6,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tessera.llm import components, ngramjoin, toxicity
+from tessera.llm import byteshash, components, ngramjoin, toxicity
+from tessera.llm.common import load
 from tests.llm.fixtures import empty, labels, odd, odd_rows, prose
 
 
@@ -35,6 +36,37 @@ def test_join_equals_brute_force(spark, seed):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
 
 
+def test_templated_texts_make_few_pairs(spark, monkeypatch):
+    """Texts of twelve slots with two phrases each share n-grams with nearly all others; few pairs are similar."""
+
+    def candidates(n):
+        rng = random.Random(7)
+        slots = [[prose(rng, 12) for _ in range(2)] for _ in range(12)]
+        rows = [(i, " ".join(rng.choice(s) for s in slots)) for i in range(n)]
+        made = []
+        check = ngramjoin.verified
+        monkeypatch.setattr(ngramjoin, "verified", lambda pairs, *a: made.append([tuple(r) for r in pairs.select("a", "b").collect()]) or check(pairs, *a))
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngramjoin.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        monkeypatch.undo()
+        assert got == ngramjoin.brute_force(dict(rows))
+        assert not set(made[0]) & set(made[1])  # no pair is verified twice
+        return len(made[0]) + len(made[1])
+
+    assert candidates(250) <= 250 * 2
+
+
+def test_filters_let_every_similar_pair_pass(spark):
+    rng = random.Random(9)
+    rows = family(rng, prose(rng, 150), range(60), 8)
+    grams = {r["doc_id"]: r for r in ngramjoin.profiles(spark.createDataFrame(rows, "doc_id long, text string"), np.zeros(1 << ngramjoin.COUNTERS, np.uint8)).collect()}
+    words = {i: t.split() for i, t in rows}
+    sets = {i: {tuple(w[k : k + 3]) for k in range(len(w) - 2)} for i, w in words.items()}
+    for a in sets:
+        for b in sets:
+            unequal = sum(((grams[a][q] ^ grams[b][q]) & (2**64 - 1)).bit_count() for q in ngramjoin.PARITY)
+            assert unequal <= len(sets[a] ^ sets[b])
+
+
 def test_join_stands_odd_input(spark):
     rows = ngramjoin.join(odd(spark)).collect()
     assert Counter(r["doc_id"] for r in rows) == Counter(r[0] for r in odd_rows())
@@ -67,6 +99,12 @@ def test_components_equal_union_find(spark):
     assert len(got) == len(parent)
 
 
+def test_unfinished_components_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(components, "ROUNDS", 1)
+    with pytest.raises(RuntimeError, match="not closed"):
+        components.components(spark.createDataFrame([(i, i + 1) for i in range(50)], "a long, b long"))
+
+
 INSULTS = ["zonk", "blarg", "fnord"]
 
 
@@ -127,6 +165,54 @@ def test_swaps_go_through_whole_groups_of_all_languages(spark, monkeypatch):
     assert np.ptp(fair) < 0.5 * np.ptp(blind)
 
 
+def plain_features(text):
+    """The features of a text, by plain arithmetic."""
+    m, out = (1 << 64) - 1, set()
+    table, base = byteshash.TABLE.tolist(), int(byteshash.BASE)
+
+    def hashed(raw):
+        h = sum(table[b] * pow(base, i, 1 << 64) for i, b in enumerate(raw)) & m
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            h = ((h ^ (h >> shift)) * factor) & m
+        return h ^ (h >> 31)
+
+    for word in (text or "").translate({i: i + 32 for i in range(65, 91)}).translate({9: 32, 10: 32, 11: 32, 12: 32, 13: 32}).split(" "):
+        raw = word.encode()
+        if not raw:
+            continue
+        for _ in range(4):
+            raw = raw[1:] if len(raw) > 1 and toxicity._TRIM[raw[0]] else raw
+            raw = raw[:-1] if len(raw) > 1 and toxicity._TRIM[raw[-1]] else raw
+        for k in (0, *toxicity.PREFIXES):
+            if len(raw) >= k:
+                out.add(((hashed(raw[:k] if k else raw) ^ int(toxicity._SALT[k])) >> 7) & ((1 << toxicity.BITS) - 1))
+    return out
+
+
+def test_scores_equal_a_plain_scorer():
+    texts = [r[1] if r[1] is None or len(r[1]) < 3000 else r[1][:3000] for r in odd_rows()]
+    every = [plain_features(t) for t in texts]
+    known = np.array(sorted(random.Random(4).sample(sorted(set().union(*every)), 300)), np.int64)
+    model = toxicity.Model(known, np.random.default_rng(1).normal(size=300), -0.3)
+    weight = dict(zip(known.tolist(), model.weights, strict=True))
+    want = [1 / (1 + np.exp(0.3 - sum(weight.get(f, 0.0) for f in own))) for own in every]
+    assert np.allclose(model.scores(pa.array(texts)), want)
+    assert [set(x.tolist()) for x in toxicity.sets(pa.array(texts))] == every
+
+
+def test_the_penalty_binds_on_the_tables(spark):
+    """Texts of the tables hold no identity term; mentions that are put into them are swapped, and any change is penalised."""
+    sf = "/root/testdata/sf0.01"
+    known, _, texts, toxic, changes = toxicity.examples(toxicity.learnt_from(load(spark, sf, "documents"), load(spark, sf, "labels")))
+    pairs = [c for own in changes for c in own]
+    assert len(pairs) > len(texts) > 200 and all(len(a) or len(b) for a, b in pairs)
+    change = lambda m: np.mean([(m.weights[b].sum() - m.weights[a].sum()) ** 2 for a, b in pairs])
+    named = pairs[0][1]  # were a term of a group among the toxic texts, its weight would be held down
+    biased = [np.union1d(x, named) if y and i % 2 else x for i, (x, y) in enumerate(zip(texts, toxic, strict=True))]
+    free = toxicity.fit(known, biased, toxic)
+    assert change(free) > 0 and change(toxicity.fit(known, biased, toxic, pairs)) < 0.5 * change(free)
+
+
 def test_copies_of_one_document_push_out_no_others(spark):
     rows = [r for r in corpus(200, random.Random(8)) if zlib.crc32(str(r[0]).encode()) % 5]
     clean = next(i for i, _, x in rows if not x)

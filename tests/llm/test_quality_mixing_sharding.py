@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -6,7 +7,8 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import mixing, quality, sharding
+from tessera.llm import mixing, ngramjoin, quality, sharding, toxicity
+from tessera.llm.common import load, written
 from tests.llm.fixtures import empty, labels, odd, odd_rows
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -49,6 +51,57 @@ def test_cutoffs_reject_junk_and_bound_false_rejection(spark):
     assert all(got[20_000 + i] for i in range(5))  # too few labels to prove a cutoff
 
 
+def test_few_labels_of_a_stratum_suffice(spark):
+    rng = random.Random(3)
+    line = lambda junk: " ".join(("w" + str(rng.randrange(10**6)) + ("##" if rng.random() < junk else "")) for _ in range(40))
+    rows = [(i, line(0.02), lang) for i, lang in enumerate(["en"] * 260 + ["de"] * 260 + ["fr"] * 230 + ["es"] * 40)]
+    rows += [(5000 + i, line(0.9), lang) for i, lang in enumerate(["en", "de", "fr", "es"] * 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    known = labels(spark, [(i, 1, 0) for i in range(790)])
+    stats = quality.statistics(docs)
+    steps = {r["stratum"]: r["step"] for r in quality.cutoffs(stats, known).collect()}
+    assert steps["es"] is None and all(steps[s] is not None for s in ("en", "de", "fr"))
+    got = {r["doc_id"]: r["kept"] for r in quality.quality_rules(docs, known).collect()}
+    assert all(got[i] == (lang == "es") for i, _, lang in rows if i >= 5000)
+    for lang in ("en", "de", "fr"):
+        own = [i for i, _, x in rows if x == lang and i < 5000]
+        assert sum(not got[i] for i in own) <= quality.ALPHA * len(own)
+
+
+def plain_step(wrong, n, strata):
+    q = Fraction(quality.ALPHA)
+    for step, k in enumerate(wrong):
+        tail = 1 if k >= n * q else sum(math.comb(n, j) * q**j * (1 - q) ** (n - j) for j in range(k + 1))
+        if tail > quality.DELTA / strata:
+            return step - 1 if step else None
+    return quality.STEPS - 1
+
+
+def test_the_ladder_equals_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    stats, known = written(quality.statistics(load(spark, sf, "documents")).drop("text"), "s"), load(spark, sf, "labels")
+    good = {r["doc_id"] for r in known.where("quality = 1").collect()}
+    by = defaultdict(list)
+    for r in stats.collect():
+        if r["doc_id"] in good and r["n_words"] >= 20 and 100 * r["n_repeat_words"] <= 30 * r["n_words"]:
+            by[r["lang"]].append(r)
+    ratio = lambda r, rule: r[quality.RULES[rule][0]] / r[quality.RULES[rule][1]] if r[quality.RULES[rule][1]] else 0
+    want = {}
+    for lang, rows in by.items():
+        wrong = [sum(any(ratio(r, rule) > quality.threshold(rule, i) for rule in quality.RULES) for r in rows) for i in range(quality.STEPS)]
+        want[lang] = plain_step(wrong, len(rows), len(by))
+    assert {r["stratum"]: r["step"] for r in quality.cutoffs(stats, known).collect()} == want
+
+
+@pytest.mark.parametrize("name", ["row", "_stratum", "cut_repeats", "t", "w", "a`b c.d", "_id", "kept", "u", "rank", "bin", "s"])
+def test_names_of_other_columns_do_not_matter(spark, name):
+    docs = spark.createDataFrame([(i, f"word{i} " * 30, "en", "src", "mine") for i in range(6)], f"doc_id long, text string, lang string, source string, `{name.replace('`', '``')}` string")
+    known = labels(spark, [(i, 1, i % 2) for i in range(6)])
+    for out in (quality.statistics(docs), quality.kept(docs, known), mixing.mix(docs), ngramjoin.first_of_each(docs), toxicity.toxicity(docs, known)):
+        rows = out.collect()
+        assert name in out.columns and (name == "kept" or all(r[name] == "mine" for r in rows))
+
+
 def test_quality_stands_odd_input(spark):
     out = quality.quality_rules(odd(spark), labels(spark, [(None, 1, 0), (1, None, None), (2, 1, 0), (2, 0, 1)]))
     rows = out.select("doc_id", "n_words", "base_failed", "kept").collect()
@@ -95,6 +148,34 @@ def test_mix_meets_targets(spark):
     assert mixing.mix(empty(spark)).count() == 0
 
 
+def test_chances_are_calibrated(spark):
+    rng = random.Random(11)
+    rows = [(i, max(1, int(rng.lognormvariate(4.5, 1.2))), "a" if i < 20_000 else "b") for i in range(26_000)]
+    text = F.repeat(F.lit("w "), F.col("n"))
+    docs = spark.createDataFrame(rows, "doc_id long, n int, source string").withColumn("text", text)
+    weight = lambda p: F.when(p == 0, 1.0).otherwise(1.5)
+    sized = written(mixing.sized(docs).drop("row"), "sized")
+    got = [r for r in mixing.drawn(sized, weight).collect()]
+    for source in "ab":
+        own = [r for r in got if r["source"] == source]
+        whole = int(own[0]["whole"])
+        owed = own[0]["target"] - whole * own[0]["source_size"]
+        assert sum(r["pi"] * r["size"] for r in own) == pytest.approx(owed, rel=1e-9)
+        for lo, hi in ((1, 50), (50, 150), (150, 400), (400, 10**9)):
+            some = [r for r in own if lo <= r["size"] < hi]
+            chance, drawn = sum(r["pi"] for r in some), sum(r["copies"] - whole for r in some)
+            spread = sum(r["pi"] * (1 - r["pi"]) for r in some) ** 0.5
+            assert abs(drawn - chance) <= 5 * spread + 1, (source, lo, drawn, chance)
+
+
+def test_null_ids_draw_apart(spark):
+    rows = [(None, f"w{i} " * 20, "a") for i in range(400)] + [(i, "x " * 40, "b") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs, weight=lambda p: F.when(p == 0, 1.0).otherwise(5.0)).where("source = 'a'").collect()
+    drawn = [int(r["text"].split()[0][1:]) for r in got if r["copies"]]
+    assert 0 < len(drawn) < 400 and drawn != sorted(drawn)[: len(drawn)]
+
+
 def test_pareto_odds_favour_the_likelier(spark):
     docs = spark.createDataFrame([(i, "w " * (5 if i % 2 else 500), "a" if i < 2000 else "b") for i in range(2400)], "doc_id long, text string, source string")
     rows = [r for r in mixing.mix(docs, weight=lambda p: F.when(p == 0, 1.0).otherwise(2.0), tilt=1.0).collect() if r["source"] == "a"]
@@ -124,7 +205,7 @@ def test_shards_equal_brute_force(spark):
     slots = defaultdict(list)
     for r in rows:
         assert r["shard"] == plain_place(r["doc_id"], sharding.tree())
-        assert r["grown_shard"] == plain_place(r["doc_id"], sharding.tree(grown=1))
+        assert r["grown_shard"] == plain_place(r["doc_id"], sharding.tree(41))
         assert r["grown_shard"] in (r["shard"], 40)
         slots[r["shard"]].append(r["slot"])
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
@@ -138,3 +219,23 @@ def test_weights_move_keys_within_their_subtree(spark):
     moved = keys.select(sharding.place(F.col("id"), t).alias("a"), sharding.place(F.col("id"), u).alias("b")).where("a <> b").collect()
     inside = {int(s[1:]) for s in (*t["g1"]["g1k0"], *t["g1"]["g1k1"])}
     assert moved and all(r["b"] in inside for r in moved)
+
+
+@pytest.mark.parametrize("n", [40, 41, 42, 200])
+def test_one_more_shard_takes_rows_only_into_itself(spark, n):
+    keys = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    now = {r["doc_id"]: (r["shard"], r["grown_shard"]) for r in sharding.shard(keys, n).collect()}
+    then = {r["doc_id"]: r["shard"] for r in sharding.shard(keys, n + 1).collect()}
+    assert {k: grown for k, (_, grown) in now.items()} == then
+    assert all(then[k] in (shard, n) for k, (shard, _) in now.items())
+    moved = sum(then[k] != shard for k, (shard, _) in now.items())
+    assert 0 < moved < 4 * 3000 / n
+    with pytest.raises(ValueError, match="base"):
+        sharding.tree(39)
+
+
+def test_a_smaller_base_grows_alike():
+    for n in range(8, 12):
+        t = sharding.tree(n + 1, base=8)
+        t.pop(f"n{n}")
+        assert t == sharding.tree(n, base=8)

@@ -26,11 +26,16 @@ def test_pieces_equal_the_library(text):
 def test_memory_is_bounded(monkeypatch):
     from tessera.llm import tokens
 
-    monkeypatch.setattr(tokens, "MEMORY", 10)
+    monkeypatch.setattr(tokens, "MEMORY", 2000)
     e = Encoder(default_path())
     for i in range(50):
-        assert e(f"word{chr(97 + i % 26)} other{chr(97 + i % 20)}.") == struct.pack(f"<{len(library(f'word{chr(97 + i % 26)} other{chr(97 + i % 20)}.'))}I", *library(f"word{chr(97 + i % 26)} other{chr(97 + i % 20)}."))
+        assert e(f"word{chr(97 + i % 26)} other{chr(97 + i % 20)}.") == struct.pack(
+            f"<{len(library(f'word{chr(97 + i % 26)} other{chr(97 + i % 20)}.'))}I",
+            *library(f"word{chr(97 + i % 26)} other{chr(97 + i % 20)}."),
+        )
     assert len(e.memory) + len(e.old) <= 20
+    long = "w" * 500_000
+    assert e(long) == struct.pack(f"<{len(library(long))}I", *library(long)) and long.encode() not in e.memory
 
 
 def test_packing_holds_every_id_once(spark):
@@ -75,6 +80,24 @@ def test_plans_are_exact_and_near_the_bound(seed):
     assert sum(t for _, t in packing.solve({1100: 7})) == 7
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_the_program_is_solved_and_most_bins_are_its(seed):
+    rng = np.random.default_rng(seed)
+    lengths, counts = np.unique(np.clip(rng.lognormal(5.5, 1.1, 4000).astype(int), 1, 2047), return_counts=True)
+    bound = int((lengths * counts).sum()) / 2048
+    plan = packing.fractional(lengths, counts, 2048)
+    covered = np.zeros(len(lengths))
+    for items, x in plan:
+        assert x > 0 and sum(int(lengths[k]) * n for k, n in items.items()) <= 2048
+        for k, n in items.items():
+            covered[k] += n * x
+    assert (covered >= counts * (1 - 1e-9)).all()
+    assert bound * (1 - 1e-9) <= sum(x for _, x in plan) <= 1.01 * bound
+    made, rest = packing.rounded(lengths, counts, 2048)
+    bins, of_program = sum(t for _, t in made + rest), sum(t for _, t in made)
+    assert of_program >= 0.9 * bins and bins <= -(-bound // 1) + 2
+
+
 @pytest.mark.parametrize("k", [1, 10, 1000])
 def test_few_lengths_lose_no_sequences(k):
     histogram = {1040: 6 * k, 550: 6 * k, 530: 6 * k, 470: 12 * k}
@@ -117,6 +140,6 @@ def test_one_document_is_read_alone_and_a_wrong_dictionary_refused():
     w.close()
     r = tokenfile.FileReader(out, raw)
     assert r.ids(13).tolist() == [13, 83, 2]
-    assert not r.index[0][0]
+    assert not r.index[0]["has_id"]
     with pytest.raises(ValueError, match="dictionary"):
         tokenfile.FileReader(out, raw + b"x")
