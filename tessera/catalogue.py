@@ -175,7 +175,7 @@ def store_tables(spark, d):
 
 @query
 def vault_load_counts(spark, d):
-    """Two loads of the raw vault, from two halves of the feed as they come to bronze; rows added to each object by each, and by a full reload."""
+    """Two loads of the raw vault, from two halves of the feed as they come to bronze; rows added to each object by each."""
     root = shared_dir(spark, "vault-load")
     store, rows = TableStore(spark, root), []
     enforce = lambda t, df: (lambda good, bad: (good, contracts.quarantine_rows(bad, "run")))(*contracts.enforce(df, contracts.GITHUB_CONTRACTS[t]))
@@ -186,7 +186,6 @@ def vault_load_counts(spark, d):
         valid, _ = split(classified(ingest.read_lines(spark, [f"{root}/landing/{load}"]), EVENT_TYPES))
         store.append(ingest.EVENTS, valid.select("event_key", "raw_value", "event_type", "source_ref"), ["event_type"])
         rows += [(f"{load}/{k}", n) for k, n in build.load_raw_vault(store, GITHUB, enforce).items()]
-    rows.append(("reload", sum(build.verify_idempotent(store, GITHUB, enforce).values())))
     return _table(spark, rows)
 
 

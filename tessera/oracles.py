@@ -242,8 +242,7 @@ UNION ALL SELECT 'second/' || what, b.n - a.n FROM a JOIN b USING (what)
 UNION ALL SELECT 'first/eff_sat_issue_assignee', count(*) FROM i
 UNION ALL SELECT 'second/eff_sat_issue_assignee', count(*) FROM (SELECT * FROM j EXCEPT SELECT * FROM i)
 UNION ALL SELECT load || '/quarantine', count(q.event_id) FROM loads LEFT JOIN q USING (load) GROUP BY load
-UNION ALL SELECT load || '/quarantine/' || frame, count(q.event_id) FROM loads CROSS JOIN types LEFT JOIN q USING (load, frame) GROUP BY load, frame
-UNION ALL SELECT 'reload', 0"""
+UNION ALL SELECT load || '/quarantine/' || frame, count(q.event_id) FROM loads CROSS JOIN types LEFT JOIN q USING (load, frame) GROUP BY load, frame"""
 
 
 ORACLES = {
