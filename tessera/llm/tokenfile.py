@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import files
-from tessera.llm.common import ship, shared_dir, written
+from tessera.llm.common import first_by_hash, ship, shared_dir, written
 from tessera.llm.tokens import default_path, encoder
 
 MAGIC = b"TOKZST1\n"
@@ -25,9 +25,10 @@ END_ID = 2
 #: The dictionary's size, and the bounded sample it is trained on: so many documents, so many bytes of each.
 DICTIONARY, SAMPLE_DOCS, SAMPLE_BYTES = 64 * 1024, 1000, 16 * 1024
 LEVEL = 3
-#: A task begins another file when one holds so many bytes.
-FILE_BYTES = 128 * 1024 * 1024
-ENTRY = struct.Struct("<BqQII")
+#: A task begins another file when one holds so many bytes, or so many documents.
+FILE_BYTES, FILE_DOCS = 128 * 1024 * 1024, 1_000_000
+#: An entry of the index; without gaps.
+ENTRY = np.dtype([("has_id", "u1"), ("doc_id", "<i8"), ("at", "<u8"), ("size", "<u4"), ("n", "<u4")])
 FOOTER = struct.Struct("<QQ8s")
 MANIFEST = "part int, seq int, path string, n_docs long, n_ids long, n_bytes long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long, path string"
@@ -57,19 +58,21 @@ class FileWriter:
     def __init__(self, out, raw_dictionary: bytes, width: int):
         import zstandard
 
-        self.out, self.width, self.index, self.n_ids = out, width, [], 0
+        self.out, self.width, self.index, self.n_docs, self.n_ids = out, width, bytearray(), 0, 0
         self.at = out.write(MAGIC + hashlib.sha256(raw_dictionary).digest() + bytes([width])) or len(MAGIC) + 33
         self.zip = zstandard.ZstdCompressor(level=LEVEL, dict_data=_zdict(raw_dictionary))
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
         frame = self.zip.compress(serialized(ids, self.width))
         self.out.write(frame)
-        self.index.append(ENTRY.pack(doc_id is not None, doc_id or 0, self.at, len(frame), len(ids) // 4))
+        self.index += np.array((doc_id is not None, doc_id or 0, self.at, len(frame), len(ids) // 4), ENTRY).tobytes()
         self.at += len(frame)
+        self.n_docs += 1
         self.n_ids += len(ids) // 4
 
     def close(self) -> None:
-        self.out.write(b"".join(self.index) + FOOTER.pack(self.at, len(self.index), MAGIC))
+        self.out.write(bytes(self.index))
+        self.out.write(FOOTER.pack(self.at, self.n_docs, MAGIC))
 
 
 class FileReader:
@@ -89,12 +92,11 @@ class FileReader:
         if magic != MAGIC:
             raise ValueError("the file has no end")
         stream.seek(at)
-        table = stream.read(n * ENTRY.size)
-        self.index = [ENTRY.unpack_from(table, i * ENTRY.size) for i in range(n)]
+        self.index = np.frombuffer(stream.read(n * ENTRY.itemsize), ENTRY)
         self.unzip = zstandard.ZstdDecompressor(dict_data=_zdict(raw_dictionary))
 
     def ids(self, k: int) -> np.ndarray:
-        _, _, at, size, n = self.index[k]
+        _, _, at, size, n = self.index[k].item()
         self.f.seek(at)
         raw = self.unzip.decompress(self.f.read(size), max_output_size=max(1, n * self.width))
         out = np.frombuffer(raw, f"<u{self.width}").astype("<u4")
@@ -108,13 +110,21 @@ def dictionary_path(folder: str, digest: str) -> str:
 
 
 def _sample(docs: DataFrame, path: str, width: int) -> list[bytes]:
+    """The heads of at most SAMPLE_DOCS serialized documents: of the doc_ids first by hash, each with its text first by hash.
+
+    Ids are chosen on the narrow column; only the texts of those that are chosen are moved.
+    """
+
     def encode(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array([serialized(encoder(path)(t or ""), width)[:SAMPLE_BYTES] for t in b.column(0).to_pylist()], pa.binary())], names=["ids"])
 
-    some = docs.orderBy(F.xxhash64("doc_id"), "doc_id").select("text").limit(SAMPLE_DOCS)
+    chosen = F.broadcast(first_by_hash(docs.select(F.col("doc_id").alias("_id")).distinct(), "_id", SAMPLE_DOCS))
+    texts = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    some = texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first"))
+    some = some.orderBy("doc_id").select("first.text").coalesce(4)
     return [bytes(r["ids"]) for r in some.mapInArrow(encode, "ids binary").collect() if r["ids"]]
 
 
@@ -149,11 +159,11 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
             name = f"{folder}/part-{part:06d}-{seq:04d}-{uuid.uuid4().hex}.tok"
             with files.writer(name) as out:
                 w = FileWriter(out, raw, width)
-                while row is not None and w.at < FILE_BYTES:
+                while row is not None and w.at < FILE_BYTES and w.n_docs < FILE_DOCS:
                     w.add(row[0], encode(row[1] or "") + end)
                     row = next(rows, None)
                 w.close()
-            values = [part, seq, name, len(w.index), w.n_ids, w.at]
+            values = [part, seq, name, w.n_docs, w.n_ids, w.at]
             kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=["part", "seq", "path", "n_docs", "n_ids", "n_bytes"])
             seq += 1
@@ -162,7 +172,10 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
 
 
 def read(manifest: DataFrame) -> DataFrame:
-    """Reads every file of a manifest back: doc_id, start (ids of all documents before), n_tokens, ids_crc32, path."""
+    """Reads every file of a manifest back: doc_id, start (ids of all documents before), n_tokens, ids_crc32, path.
+
+    Documents are read one by one, whatever their length; an empty manifest has no rows.
+    """
     ship(manifest.sparkSession)
     before = Window.partitionBy(F.lit(1)).orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     listed = manifest.select("path", "dictionary", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).cast("long").alias("base"))
@@ -184,7 +197,8 @@ def read(manifest: DataFrame) -> DataFrame:
                         rows = []
                         for j in range(k, min(k + 2000, len(r.index))):
                             ids = r.ids(j)
-                            rows.append((r.index[j][1] if r.index[j][0] else None, base, len(ids), zlib.crc32(ids.tobytes())))
+                            has_id, doc_id = r.index[j].item()[:2]
+                            rows.append((doc_id if has_id else None, base, len(ids), zlib.crc32(ids.tobytes())))
                             base += len(ids)
                         cols = list(zip(*rows, strict=True))
                         yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols], pa.array([path] * len(rows))], names=["doc_id", "start", "n_tokens", "ids_crc32", "path"])
@@ -193,4 +207,7 @@ def read(manifest: DataFrame) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """Writes and reads: one row per row of docs, as many times as it occurs. A null or empty text has the end id alone, a null
+    doc_id stays null and comes first; texts of any length are one frame; an empty table has no rows; other columns are left out.
+    """
     return read(write(docs, shared_dir(docs.sparkSession, "tokens"), path))

@@ -1,7 +1,8 @@
 """Encoding with a public tokenizer file, fast enough for a corpus.
 
 The word-end BPE drops white space and never merges across it, so a text's ids are those of its blank-separated pieces, one
-after another. Pieces are looked up in a bounded memory of this worker process; unknown ones go to the tokenizers library.
+after another. Pieces are looked up in a memory of this worker process that is bounded in bytes; unknown ones go to the
+tokenizers library.
 """
 
 from __future__ import annotations
@@ -10,8 +11,9 @@ import re
 import struct
 from functools import lru_cache
 
-#: Pieces that a worker remembers at most, in two generations of half as many.
-MEMORY = 1_000_000
+#: Bytes that a worker's remembered pieces take at most, in two generations of half as many; what an entry costs besides
+#: its piece and ids; bytes of the longest piece that is remembered.
+MEMORY, ENTRY, LONGEST = 200 * 1024 * 1024, 180, 64
 
 #: A lower-case word of plain Latin letters, which no normalizer changes, and the punctuation behind it.
 _PLAIN = re.compile(rb"([a-z\xdf-\xf6\xf8-\xff]+)([.,:;!?*#$%&|]*)")
@@ -77,17 +79,20 @@ class Encoder:
             pieces = text.encode("latin-1").decode("latin-1").lower().encode("latin-1").split()
         except UnicodeEncodeError:
             return self._library(text)  # other scripts: lower case and composition are left to the library
-        if len(self.memory) >= MEMORY // 2:
+        if self.memory.bytes >= MEMORY // 2:
             self.old, self.memory = self.memory, _Memory(self.of_piece)
         return b"".join(map(self.memory.__getitem__, pieces))
 
 
 class _Memory(dict):
     def __init__(self, compute):
-        self.compute = compute
+        self.compute, self.bytes = compute, 0
 
     def __missing__(self, piece: bytes) -> bytes:
-        self[piece] = found = self.compute(piece)
+        found = self.compute(piece)
+        if len(piece) <= LONGEST:
+            self[piece] = found
+            self.bytes += ENTRY + len(piece) + len(found)
         return found
 
 
