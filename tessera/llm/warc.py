@@ -48,7 +48,12 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     fields = [("WARC-Type", "revisit" if is_revisit else "response"), ("WARC-Record-ID", f"<{ID}{page_id}>"), ("WARC-Date", DATE), ("WARC-Target-URI", _clean(url))]
     if is_revisit:
         fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<{ID}{refers_to}>")]
-    fields += [("WARC-Payload-Digest", f"sha256:{digest}"), ("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}"), ("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
+    fields += [
+        ("WARC-Payload-Digest", f"sha256:{digest}"),
+        ("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}"),
+        ("Content-Type", "application/http; msgtype=response"),
+        ("Content-Length", str(len(block))),
+    ]
     return _head(fields) + block + b"\r\n\r\n"
 
 
@@ -72,7 +77,20 @@ class Gap:
 
 
 class Damaged(ValueError):
-    pass
+    """What is wrong with a record, and where it ends if that is known nevertheless."""
+
+    def __init__(self, reason: str, end: int | None = None):
+        super().__init__(reason)
+        self.end = end
+
+
+def _wrong(digest: str | None, raw: bytes) -> bool:
+    """Whether a labelled digest (sha1 or sha256, in hex or base32) is not that of `raw`; others are not known."""
+    kind, _, value = (digest or "").partition(":")
+    if kind.lower() not in ("sha1", "sha256"):
+        return False
+    own = hashlib.new(kind.lower(), raw)
+    return value.lower() != own.hexdigest() and value.upper().rstrip("=") != base64.b32encode(own.digest()).decode().rstrip("=")
 
 
 def _whole(raw: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
@@ -96,11 +114,12 @@ def _whole(raw: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
     if raw[end : end + 4] != b"\r\n\r\n":
         raise Damaged("wrong length")
     block = raw[begin:end]
-    kind, _, digest = fields.get("warc-block-digest", "").partition(":")
-    if kind.lower() in ("sha1", "sha256"):
-        own = hashlib.new(kind.lower(), block)
-        if digest.lower() != own.hexdigest() and digest.upper().rstrip("=") != base64.b32encode(own.digest()).decode().rstrip("="):
-            raise Damaged("wrong block digest")
+    if _wrong(fields.get("warc-block-digest"), block):
+        raise Damaged("wrong block digest", end + 4)
+    if fields.get("warc-type") == "response" and "warc-payload-digest" in fields:
+        http, _, payload = block.partition(b"\r\n\r\n")
+        if not re.search(rb"(?i)\r\n(transfer|content)-encoding:", http) and _wrong(fields["warc-payload-digest"], payload):
+            raise Damaged("wrong payload digest", end + 4)
     return fields, block, end + 4
 
 
@@ -137,6 +156,9 @@ def _records_in(plain: bytes, at: int) -> tuple[list[Record], str | None]:
             continue
         except Damaged as e:
             reason = reason or str(e)
+            if e.end is not None:  # what its payload holds is no record of the archive
+                place = e.end
+                continue
         found = _VERSION.search(plain, place + 1)
         place = found.start() if found else len(plain)
     return out, reason
@@ -158,14 +180,15 @@ def salvage(raw: bytes) -> Iterator[Record | Gap]:
     """All records that can be read, in order, and the gaps between them.
 
     Records of one gzip member begin where it does. Of a member with damage its sound records come first, then all its bytes as a
-    gap; else gaps and records cover every byte once.
+    gap; else gaps and records cover every byte once. A record whose digest is wrong but whose end is sound is a gap as a
+    whole, with all that its payload holds.
     """
     at = 0
     while at < len(raw):
         try:
             found, after, reason = _records_at(raw, at)
         except Damaged as e:
-            found, after, reason = [], None, str(e)
+            found, after, reason = [], e.end, str(e)
         yield from found
         start = at
         if after is not None:
@@ -190,14 +213,18 @@ def salvage(raw: bytes) -> Iterator[Record | Gap]:
 def planned(pages: DataFrame) -> DataFrame:
     """page_id, url, html (null: empty), digest, refers_to: the smallest page_id with an equal payload of at least LEAST_SHARED bytes.
 
-    Only payloads that occur twice are joined, so others are not looked up. A row that is itself the smallest, or a repeat
-    of that row, is a response. Rows without page_id revisit the smallest one there is; if there is none they are responses.
+    Digests meet without their pages: first the digests that occur twice, then the (page_id, digest) pairs that refer to
+    another page, and only these go back to the pages, which are dealt by page. So equal pages, however many, do not meet in
+    one task. A row that is itself the smallest, or a repeat of that row, is a response. Rows without page_id revisit the
+    smallest one there is; if there is none they are responses.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
-    twice = rows.where(F.octet_length("html") >= LEAST_SHARED).groupBy(F.col("digest").alias("d")).agg(F.count(F.lit(1)).alias("many"), F.min("page_id").alias("first")).where("many > 1").drop("many")
-    rows = rows.join(twice, F.col("digest") == F.col("d"), "left").drop("d")
-    return rows.withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))).drop("first")
+    narrow = written(rows.where(F.octet_length("html") >= LEAST_SHARED).select("page_id", "digest"), "digests")
+    twice = narrow.groupBy(F.col("digest").alias("d")).agg(F.count(F.lit(1)).alias("many"), F.min("page_id").alias("first")).where("many > 1 and first is not null")
+    others = narrow.join(twice, (F.col("digest") == F.col("d")) & ~F.col("page_id").eqNullSafe(F.col("first")))
+    others = others.select(F.col("page_id").alias("p"), "d", F.col("first").alias("refers_to")).distinct()
+    return rows.join(others, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")), "left").drop("p", "d")
 
 
 def write(pages: DataFrame, folder: str) -> DataFrame:
@@ -215,7 +242,17 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
             name, n, size = f"{folder}/{uuid.uuid4().hex}.warc.gz", 0, 0
             with files.writer(name) as out:
                 info = b"software: tessera\r\nformat: WARC File Format 1.1\r\n"
-                raw = member(_head([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", DATE), ("Content-Type", "application/warc-fields"), ("Content-Length", str(len(info)))]) + info + b"\r\n\r\n")
+                raw = member(
+                    _head(
+                        [
+                            ("WARC-Type", "warcinfo"),
+                            ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"),
+                            ("WARC-Date", DATE),
+                            ("Content-Type", "application/warc-fields"),
+                            ("Content-Length", str(len(info))),
+                        ]
+                    ) + info + b"\r\n\r\n"
+                )
                 size += out.write(raw) or len(raw)
                 while row is not None and size < FILE_BYTES:
                     page_id, url, html, digest, refers_to = row
@@ -252,7 +289,7 @@ def _each_file(manifest: DataFrame, run, schema: str) -> DataFrame:
 
 
 def read(manifest: DataFrame) -> DataFrame:
-    """The response and revisit records of all files, salvaged."""
+    """The response and revisit records of all files, salvaged; an empty manifest has none."""
 
     def get(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -286,4 +323,7 @@ def gaps(manifest: DataFrame) -> DataFrame:
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
+    """Writes and reads: one row per row of pages, as often as it occurs. Null and empty payloads are responses of no bytes, a null
+    page_id stays null, a page of any length is one record. An empty table has no rows; other columns are left out.
+    """
     return read(write(pages, shared_dir(pages.sparkSession, "warc")))
