@@ -349,9 +349,9 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
         for b in batches:
             s = model.scores(b.column(at))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=[*b.schema.names, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=kind.names)
 
-    return docs.mapInArrow(run, kind)
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).mapInArrow(run, kind)  # names go in by position, for they may hold anything
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
